@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound under which a lookup side is broadcast. A few hundred
+# thousand short rows stay well under the executors' broadcast budget.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check is a bounded count (``limit(max_rows + 1)``): it stops reading
+    as soon as the bound is exceeded. Beyond the bound the frame is returned
+    unmarked and the planner falls back to a shuffled (sort-merge) join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
