@@ -4,7 +4,7 @@
   decimals, so the total does not depend on the order in which partitions
   are combined. The sum widens to ``decimal(28,4)``, which holds totals of
   trillions of lines without overflow. Results are returned as double.
-* Means are the exact decimal sum divided by the count.
+* Means are the exact decimal sum (as double) divided by the count.
 * Rounding to k decimals is half-to-even on the scaled value
   (``rint(x * 10^k) / 10^k``), the numpy rule the reference relies on.
 * Integer casts truncate toward zero into bigint (no 2^31 overflow).
@@ -33,8 +33,12 @@ def money_sum(c) -> Column:
 
 
 def money_mean(c) -> Column:
-    """Exact mean of money: decimal sum / non-null count."""
-    return (F.sum(money(c)) / F.count(_col(c))).cast("double")
+    """Mean of money: the exact decimal sum, as double, over the non-null count.
+
+    Dividing in double (one correctly rounded IEEE division) makes the result
+    bit-identical in every engine that sums exactly.
+    """
+    return money_sum(c) / F.count(_col(c))
 
 
 def round_even(c, digits: int = 2) -> Column:

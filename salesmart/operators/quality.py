@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.numeric import money_mean
+
 QUANTILES = (0.25, 0.5, 0.75)
 
 
@@ -83,7 +85,7 @@ def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     for c in columns:
         v = F.col(f"`{c}`")
         basic = df.agg(F.count(v).cast("double").alias("count"),
-                       (F.sum(v.cast("decimal(18,4)")) / F.count(v)).cast("double").alias("mean"),
+                       money_mean(v).alias("mean"),
                        F.stddev_samp(v.cast("double")).alias("std"),
                        F.min(v).cast("double").alias("min"),
                        F.max(v).cast("double").alias("max"))

@@ -105,7 +105,7 @@ _NUMERIC = ["postal_code", "sales"]
 
 def _numeric_sql(c: str) -> str:
     stats = [("count", f"CAST(COUNT({c}) AS DOUBLE)"),
-             ("mean", f"CAST(SUM(CAST({c} AS DECIMAL(18,4))) / COUNT({c}) AS DOUBLE)"),
+             ("mean", f"CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c})"),
              ("std", f"stddev_samp(CAST({c} AS DOUBLE))"),
              ("min", f"CAST(MIN({c}) AS DOUBLE)"),
              ("max", f"CAST(MAX({c}) AS DOUBLE)"),
