@@ -29,9 +29,14 @@ def parse_dates(raw: DataFrame, cols=("order_date", "ship_date"),
 
 
 def project_ods(df: DataFrame) -> DataFrame:
-    """The 17 ODS columns in contract order, cast to contract types."""
+    """The 17 ODS columns in contract order, cast to contract types.
+
+    ``try_cast``: a malformed value (a text id where the contract has a
+    number) becomes NULL in that row - visible in the null profile (A13) -
+    instead of failing the whole load under ANSI mode.
+    """
     types = {f.name: f.dataType for f in ODS_SCHEMA.fields}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) for c in ODS_COLUMNS])
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in ODS_COLUMNS])
 
 
 def fill_postal_code(df: DataFrame, value: int = DEFAULT_POSTAL_CODE) -> DataFrame:
@@ -86,6 +91,25 @@ def parse_record_text(text: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select("r.*")
 
 
+def day_of_text(text: DataFrame, as_of: _dt.date | str | None = None,
+                column: str = "value") -> DataFrame:
+    """P8 on raw JSON text: keep the records of one order day before parsing.
+
+    Only the date field is extracted (``get_json_object``), so the full
+    17-field parse runs on the day's records only, not on the whole feed.
+    """
+    day = as_of or _dt.date.today()
+    day = day.isoformat() if isinstance(day, _dt.date) else day
+    order_date = F.get_json_object(F.col(column), f"$['{HEADER_NAMES['order_date']}']")
+    return text.where(order_date == F.lit(day))
+
+
+def increment_from_text(text: DataFrame, as_of: _dt.date | str | None = None,
+                        column: str = "value") -> DataFrame:
+    """P8+P9 on JSON text: one day's records, parsed and typed as ODS."""
+    return records_to_ods(parse_record_text(day_of_text(text, as_of, column), column))
+
+
 def daily_increment(records: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
     """P8+P9: keep the records of one order day (default: today), typed as ODS.
 

@@ -78,18 +78,36 @@ def _residuals(y, params, order, seasonal):
         raise ValueError("series shorter than the model's conditioning window")
     # AR side as one vectorised convolution: u_t = sum_i full_ar[i] y_(t-i).
     u = np.convolve(y, full_ar)[r:n]
-    lags = [j for j in range(1, len(ma)) if ma[j] != 0.0]
-    coef = [ma[j] for j in lags]
-    e = np.zeros(n - r)
-    if not lags:
+    pairs = [(j, float(ma[j])) for j in range(1, len(ma)) if ma[j] != 0.0]
+    if not pairs:
         return u, r
-    for t in range(n - r):
-        acc = u[t]
-        for j, c in zip(lags, coef):
-            if t - j >= 0:
+    # MA inversion e_t = u_t - sum_j ma_j e_(t-j): inherently sequential, run
+    # on plain floats (no per-element numpy boxing).
+    ul = u.tolist()
+    m = len(ul)
+    e = [0.0] * m
+    top = pairs[-1][0]
+    for t in range(min(top, m)):
+        acc = ul[t]
+        for j, c in pairs:
+            if t >= j:
                 acc -= c * e[t - j]
         e[t] = acc
-    return e, r
+    if len(pairs) == 1:
+        (j1, c1), = pairs
+        for t in range(top, m):
+            e[t] = ul[t] - c1 * e[t - j1]
+    elif len(pairs) == 3:
+        (j1, c1), (j2, c2), (j3, c3) = pairs
+        for t in range(top, m):
+            e[t] = ul[t] - c1 * e[t - j1] - c2 * e[t - j2] - c3 * e[t - j3]
+    else:
+        for t in range(top, m):
+            acc = ul[t]
+            for j, c in pairs:
+                acc -= c * e[t - j]
+            e[t] = acc
+    return np.array(e), r
 
 
 def _lm(fun, x0, max_iter: int = 100, tol: float = 1e-10):

@@ -46,8 +46,7 @@ def postal_fill_by_city(t: Tables) -> DataFrame:
     f"SELECT {_ODS_LIST} FROM sales WHERE order_date = DATE '{INCREMENT_DAY}'"))
 def daily_increment(t: Tables) -> DataFrame:
     """P8+P9: JSON records of the feed -> one day's typed ODS rows."""
-    text = cleanse.to_api_records(sales_view(t))
-    return cleanse.daily_increment(cleanse.parse_record_text(text), INCREMENT_DAY)
+    return cleanse.increment_from_text(cleanse.to_api_records(sales_view(t)), INCREMENT_DAY)
 
 
 @query("ods_replace_days", with_sales(f"""
