@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.numeric import (
     currency_label, money, money_sum, round4, round_even, trunc_bigint,
@@ -35,15 +36,27 @@ MARTS: dict[str, dict] = {
 }
 
 
+def _exact_sum(df: DataFrame, measure: str):
+    """Decimal sum: money values are cast to decimal(18,4); decimal inputs
+    (already-exact partial sums) are summed as they are, without narrowing."""
+    if isinstance(df.schema[measure].dataType, T.DecimalType):
+        return F.sum(measure).cast("double")
+    return money_sum(measure)
+
+
 def group_sum(sales: DataFrame, keys: list[str], measure: str = "sales") -> DataFrame:
-    """Exact money sum of ``measure`` per key; null keys dropped, all-null -> 0.0."""
+    """Exact money sum of ``measure`` per key; null keys dropped, all-null -> 0.0.
+
+    ``measure`` may hold line values (double) or exact partial sums
+    (decimal, e.g. from ``star_sum``); the result is the same.
+    """
     cond = None
     for k in keys:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
     src = sales.where(cond) if cond is not None else sales
     return src.groupBy(*keys).agg(
-        F.coalesce(money_sum(measure), F.lit(0.0)).alias(measure))
+        F.coalesce(_exact_sum(src, measure), F.lit(0.0)).alias(measure))
 
 
 def _post(df: DataFrame, post: str, measure: str) -> DataFrame:
@@ -91,7 +104,7 @@ def mart_totals(sales: DataFrame, key: str = "category") -> DataFrame:
     '$' + integer text the reference puts in chart captions.
     """
     src = sales.where(F.col(key).isNotNull())
-    g = src.rollup(key).agg(F.coalesce(money_sum("sales"), F.lit(0.0)).alias("sales"),
+    g = src.rollup(key).agg(F.coalesce(_exact_sum(src, "sales"), F.lit(0.0)).alias("sales"),
                             F.grouping(key).cast("boolean").alias("is_total"))
     return g.withColumn("label", currency_label("sales"))
 

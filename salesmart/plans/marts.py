@@ -1,4 +1,8 @@
-"""Registered mart queries (A1-A12, O5, J1) over the fixture star schema."""
+"""Registered mart queries (A1-A12, O5, J1) over the fixture star schema.
+
+Marts read ``star_sum``: sales are summed by foreign key before the
+dimension joins, then summed again per mart key.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import geo, marts
 from salesmart.plans.registry import query, with_sales
-from salesmart.sources.star import sales_view
+from salesmart.sources.star import star_sum
 from salesmart.sources.tables import Tables
 
 _SUM = "COALESCE(CAST(SUM(CAST(sales AS DECIMAL(18,4))) AS DOUBLE), 0.0)"
@@ -31,7 +35,7 @@ def _register_mart(name: str) -> None:
     spec = marts.MARTS[name]
 
     def build(t: Tables) -> DataFrame:
-        return marts.mart(sales_view(t, spec["keys"] + ["sales"]), name)
+        return marts.mart(star_sum(t, spec["keys"]), name)
 
     build.__doc__ = f"{name}: top marts over {spec['keys']}"
     query(name, _top_sql(spec["keys"], spec["k"], spec["post"]))(build)
@@ -50,7 +54,7 @@ SELECT category, CAST(SUM(v) AS BIGINT) AS sales FROM (
 ) b GROUP BY category"""))
 def top_sub_categories_all(t: Tables) -> DataFrame:
     """Category sums of the truncated top-10 sub-categories."""
-    return marts.top_sub_categories_all(sales_view(t, ["category", "sub_category", "sales"]))
+    return marts.top_sub_categories_all(star_sum(t, ["category", "sub_category"]))
 
 
 def nation_code_lookup(t: Tables) -> DataFrame:
@@ -71,7 +75,7 @@ LEFT JOIN (SELECT n_name AS state, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2,
            FROM nation WHERE n_nationkey <> 7) l ON g.state = l.state"""))
 def sales_by_state(t: Tables) -> DataFrame:
     """A10 + J1: per-state sales, code attached by name."""
-    return geo.sales_by_state(sales_view(t, ["state", "sales"]), nation_code_lookup(t))
+    return geo.sales_by_state(star_sum(t, ["state"]), nation_code_lookup(t))
 
 
 @query("mart_totals", with_sales(f"""
@@ -80,7 +84,7 @@ SELECT category, {_SUM} AS sales, GROUPING(category) = 1 AS is_total,
 FROM sales WHERE category IS NOT NULL GROUP BY ROLLUP (category)"""))
 def mart_totals(t: Tables) -> DataFrame:
     """Category rows plus the grand total (ROLLUP)."""
-    return marts.mart_totals(sales_view(t, ["category", "sales"]), "category")
+    return marts.mart_totals(star_sum(t, ["category"]), "category")
 
 
 @query("category_share", with_sales(f"""
@@ -90,7 +94,7 @@ SELECT category, sales,
 FROM (SELECT category, {_SUM} AS sales FROM sales WHERE category IS NOT NULL GROUP BY category) g"""))
 def category_share(t: Tables) -> DataFrame:
     """Share of total per category."""
-    return marts.share_of_total(sales_view(t, ["category", "sales"]), "category")
+    return marts.share_of_total(star_sum(t, ["category"]), "category")
 
 
 @query("top_products_per_region", with_sales(f"""
@@ -103,5 +107,5 @@ SELECT region, product_name, round_even(sales * 100, 0) / 100 AS sales, rank FRO
 ) r WHERE rank <= 3"""))
 def top_products_per_region(t: Tables) -> DataFrame:
     """Top-3 products inside each region."""
-    return marts.top_n_per_group(sales_view(t, ["region", "product_name", "sales"]),
+    return marts.top_n_per_group(star_sum(t, ["region", "product_name"]),
                                  ["region"], ["product_name"], 3)
