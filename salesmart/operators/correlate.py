@@ -14,7 +14,8 @@ diagonal       = 1 when the column varies, else NULL.
 Pairs involving the measure use only rows where it is present (pairwise
 complete, like pandas); a NULL dimension value is an all-zero indicator row.
 One scan and one group-by per dimension; the result has (k+1)^2 rows for k
-distinct values, built from two (k+1)-row statistics frames.
+distinct values: the cells of the matrix, each joined by position to the
+(k+1)-row statistics frame.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def _feature_stats(df: DataFrame, dim: str, measure: str) -> DataFrame:
 
 def _pair_r(a: str, b: str):
     def c(side, name):
-        return F.col(f"{side}.{name}")
+        return F.col(f"{side}_{name}")
 
     def measure_vs(ind):
         p = c(ind, "p")
@@ -85,11 +86,18 @@ def one_hot_corr(df: DataFrame, dim: str, measure: str = "sales") -> DataFrame:
     diagonal, 0.0 on and below it - the heat-map mask of the reference).
     """
     stats = _feature_stats(df, dim, measure)
-    # Both sides have one row per feature ((k+1) rows): the matrix itself.
-    pairs = stats.alias("x").crossJoin(stats.alias("y"))
+    # Matrix cells (pos_x, pos_y) for pos in 0..k, generated from the k+1
+    # feature rows; each cell then looks up the statistics of its row and
+    # column feature by position (two equi-joins on k+1-row frames).
+    sized = stats.select("pos", F.count(F.lit(1)).over(Window.partitionBy()).alias("width"))
+    cells = sized.select(F.col("pos").alias("pos_x"),
+                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("width") - 1)).alias("pos_y"))
+    x = stats.select(*[F.col(c).alias(f"x_{c}") for c in stats.columns])
+    y = stats.select(*[F.col(c).alias(f"y_{c}") for c in stats.columns])
+    pairs = (cells.join(x, F.col("pos_x") == F.col("x_pos"))
+                  .join(y, F.col("pos_y") == F.col("y_pos")))
     r = round4(_pair_r("x", "y"))
     return pairs.select(
-        F.col("x.feature").alias("feature_x"), F.col("y.feature").alias("feature_y"),
-        F.col("x.pos").alias("pos_x"), F.col("y.pos").alias("pos_y"),
-        r.alias("r"),
-        F.when(F.col("x.pos") < F.col("y.pos"), r).otherwise(F.lit(0.0)).alias("r_upper"))
+        F.col("x_feature").alias("feature_x"), F.col("y_feature").alias("feature_y"),
+        "pos_x", "pos_y", r.alias("r"),
+        F.when(F.col("pos_x") < F.col("pos_y"), r).otherwise(F.lit(0.0)).alias("r_upper"))
