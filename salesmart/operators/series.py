@@ -34,20 +34,26 @@ def daily_mean(df: DataFrame, date_col: str = "order_date", value_col: str = "sa
     """T1 (+J3): mean value per calendar day, days without rows are NULL.
 
     The mean is over order lines (the reference resamples line values with
-    ``mean``), computed as the exact decimal sum / count. The calendar runs from
-    each series' first to last day; rows with a NULL date are ignored.
+    ``mean``), computed as the exact decimal sum / count. The calendar runs
+    from each series' first to last day; rows with a NULL date are ignored.
+
+    Gap days are generated from the aggregated days themselves: each present
+    day emits itself and the missing days up to the next present day
+    (``lead`` + ``sequence``), so the lines are aggregated once and no
+    calendar join is needed.
     """
     lines = (df.where(F.col(date_col).isNotNull())
                .select(_series_id(series_cols).alias("series_id"),
                        F.col(date_col).cast("date").alias("ds"), F.col(value_col).alias("v")))
     daily = lines.groupBy("series_id", "ds").agg(money_mean("v").alias("y"))
-    bounds = daily.groupBy("series_id").agg(F.min("ds").alias("d0"), F.max("ds").alias("d1"))
-    calendar = bounds.select(
-        "series_id", "d0",
-        F.explode(F.sequence("d0", "d1", F.expr("INTERVAL 1 DAY"))).alias("ds"))
-    return (calendar.join(daily, ["series_id", "ds"], "left")
-                    .select("series_id", "ds",
-                            F.datediff("ds", "d0").cast("bigint").alias("idx"), "y"))
+    by_day = Window.partitionBy("series_id").orderBy("ds")
+    spans = (daily.withColumn("next_ds", F.lead("ds").over(by_day))
+                  .withColumn("d0", F.min("ds").over(Window.partitionBy("series_id"))))
+    last = F.coalesce(F.date_sub("next_ds", 1), F.col("ds"))
+    days = spans.select("series_id", "d0", F.col("ds").alias("present"), "y",
+                        F.explode(F.sequence("ds", last)).alias("ds"))
+    return days.select("series_id", "ds", F.datediff("ds", "d0").cast("bigint").alias("idx"),
+                       F.when(F.col("ds") == F.col("present"), F.col("y")).alias("y"))
 
 
 def interpolate_linear(series: DataFrame) -> DataFrame:
@@ -57,12 +63,17 @@ def interpolate_linear(series: DataFrame) -> DataFrame:
     pandas ``interpolate(method='linear')`` behaviour).
     """
     known_idx = F.when(F.col("y").isNotNull(), F.col("idx"))
+    # Both neighbours come from running (growing) frames, which Spark
+    # evaluates in one pass; the "next known value" is the last known value
+    # when walking the series backwards. (A current-row..unbounded-following
+    # frame would be re-aggregated for every row: quadratic in the days.)
     back = _by_series().rowsBetween(Window.unboundedPreceding, 0)
-    ahead = _by_series().rowsBetween(0, Window.unboundedFollowing)
+    ahead = (Window.partitionBy("series_id").orderBy(F.col("idx").desc())
+             .rowsBetween(Window.unboundedPreceding, 0))
     s = (series.withColumn("y0", F.last("y", ignorenulls=True).over(back))
                .withColumn("i0", F.last(known_idx, ignorenulls=True).over(back))
-               .withColumn("y1", F.first("y", ignorenulls=True).over(ahead))
-               .withColumn("i1", F.first(known_idx, ignorenulls=True).over(ahead)))
+               .withColumn("y1", F.last("y", ignorenulls=True).over(ahead))
+               .withColumn("i1", F.last(known_idx, ignorenulls=True).over(ahead)))
     filled = (F.when(F.col("y").isNotNull(), F.col("y"))
                .when(F.col("y0").isNull(), F.lit(None))
                .when(F.col("y1").isNull(), F.col("y0"))

@@ -57,3 +57,11 @@ def sarima_rmse(t: Tables) -> DataFrame:
 def sarima_forecast(t: Tables) -> DataFrame:
     """T14+T15: 7-day forecast mart (prediction date, truncated sales)."""
     return forecast.sarima_forecast(_series(t), 7).orderBy("series_id", "prediction_date")
+
+
+@query("sarima_forecast_by_region")
+def sarima_forecast_by_region(t: Tables) -> DataFrame:
+    """T14 per region: one daily series and one model per region, fitted in
+    parallel (one applyInPandas group each)."""
+    s = ts.daily_series(sales_view(t, ["order_date", "region", "sales"]), series_cols=["region"])
+    return forecast.sarima_forecast(s, 7)
