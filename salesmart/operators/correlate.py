@@ -48,7 +48,8 @@ def _feature_stats(df: DataFrame, dim: str, measure: str) -> DataFrame:
         (F.col("m_v") / F.col("m")).alias("p"),
         (F.col("s_v").cast("double") / F.col("m_v")).alias("mean_v"),
         "mean", "sd")
-    measure_row = g.limit(1).select(
+    # Every group row carries the same global mean / sd; fold them to one row.
+    measure_row = g.groupBy().agg(F.max("mean").alias("mean"), F.max("sd").alias("sd")).select(
         F.lit(measure).alias("feature"), F.lit(0).cast("bigint").alias("pos"),
         F.lit(True).alias("is_measure"), F.lit(None).cast("double").alias("q"),
         F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("mean_v"),
