@@ -30,11 +30,13 @@ def _by_series(order: str = "idx") -> Window:
 
 
 def daily_mean(df: DataFrame, date_col: str = "order_date", value_col: str = "sales",
-               series_cols: list[str] | None = None) -> DataFrame:
+               series_cols: list[str] | None = None, count_col: str | None = None) -> DataFrame:
     """T1 (+J3): mean value per calendar day, days without rows are NULL.
 
     The mean is over order lines (the reference resamples line values with
-    ``mean``), computed as the exact decimal sum / count. The calendar runs
+    ``mean``), computed as the exact decimal sum / count. With ``count_col``
+    the input is already partially aggregated: ``value_col`` holds exact
+    partial sums and ``count_col`` the partial line counts. The calendar runs
     from each series' first to last day; rows with a NULL date are ignored.
 
     Gap days are generated from the aggregated days themselves: each present
@@ -44,8 +46,15 @@ def daily_mean(df: DataFrame, date_col: str = "order_date", value_col: str = "sa
     """
     lines = (df.where(F.col(date_col).isNotNull())
                .select(_series_id(series_cols).alias("series_id"),
-                       F.col(date_col).cast("date").alias("ds"), F.col(value_col).alias("v")))
-    daily = lines.groupBy("series_id", "ds").agg(money_mean("v").alias("y"))
+                       F.col(date_col).cast("date").alias("ds"), F.col(value_col).alias("v"),
+                       *([F.col(count_col).alias("n")] if count_col else [])))
+    if count_col:
+        # Pre-aggregated input (exact decimal partial sums + partial counts).
+        mean = F.sum("v").cast("double") / F.sum("n")
+        daily = lines.groupBy("series_id", "ds").agg(
+            F.when(F.sum("n") > 0, mean).alias("y"))
+    else:
+        daily = lines.groupBy("series_id", "ds").agg(money_mean("v").alias("y"))
     by_day = Window.partitionBy("series_id").orderBy("ds")
     spans = (daily.withColumn("next_ds", F.lead("ds").over(by_day))
                   .withColumn("d0", F.min("ds").over(Window.partitionBy("series_id"))))
@@ -83,9 +92,9 @@ def interpolate_linear(series: DataFrame) -> DataFrame:
 
 
 def daily_series(df: DataFrame, date_col: str = "order_date", value_col: str = "sales",
-                 series_cols: list[str] | None = None) -> DataFrame:
+                 series_cols: list[str] | None = None, count_col: str | None = None) -> DataFrame:
     """T1 + T2: the gap-free daily series the analysis and models run on."""
-    return interpolate_linear(daily_mean(df, date_col, value_col, series_cols))
+    return interpolate_linear(daily_mean(df, date_col, value_col, series_cols, count_col))
 
 
 def random_split(series: DataFrame, seed: int = 42, cuts=(0.6, 0.8)) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.numeric import round4
 from salesmart.operators import series as ts
 from salesmart.plans.registry import query, with_sales
-from salesmart.sources.star import sales_view
+from salesmart.sources.star import star_sum
 from salesmart.sources.tables import Tables
 
 SEED = 42
@@ -43,13 +43,14 @@ _SERIES_SQL = """
 
 
 def _series(t: Tables) -> DataFrame:
-    return ts.daily_series(sales_view(t, ["order_date", "sales"]))
+    """Daily series from per-order partial sums and counts (eager aggregation)."""
+    return ts.daily_series(star_sum(t, ["order_date"], counts=True), count_col="n")
 
 
 @query("daily_mean", with_sales(_SERIES_SQL + f"SELECT series_id, ds, idx, {_r4('y')} AS y FROM dm"))
 def daily_mean(t: Tables) -> DataFrame:
     """Mean line value per day on a gap-free calendar (empty days NULL)."""
-    s = ts.daily_mean(sales_view(t, ["order_date", "sales"]))
+    s = ts.daily_mean(star_sum(t, ["order_date"], counts=True), count_col="n")
     return s.withColumn("y", round4("y"))
 
 

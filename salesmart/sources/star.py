@@ -110,9 +110,11 @@ _CUSTOMER_KEYS = {"customer_id", "customer_name", "segment", "city", "state", "p
 _PART_KEYS = {"category", "sub_category", "product_name"}
 
 
-def star_sum(tables: Tables, keys: list[str]) -> DataFrame:
+def star_sum(tables: Tables, keys: list[str], counts: bool = False) -> DataFrame:
     """``keys`` + ``sales`` (exact decimal partial sums) with the aggregation
     pushed below the dimension joins - eager aggregation by foreign key.
+    With ``counts`` an ``n`` column carries the partial count of non-null
+    sales, so means can be finished exactly (sum of sums / sum of counts).
 
     * part attributes only: lines -> sum per part key -> join part;
     * order / customer attributes only: lines -> sum per order -> join
@@ -132,22 +134,27 @@ def star_sum(tables: Tables, keys: list[str]) -> DataFrame:
     if unknown:
         raise ValueError(f"not sales columns: {sorted(unknown)}")
     price = F.col("l_extendedprice").cast("decimal(18,4)")
+    partial = [F.sum(price).alias("sales")] + ([F.count(price).alias("n")] if counts else [])
+    regroup = [F.sum("sales").alias("sales")] + ([F.sum("n").alias("n")] if counts else [])
+    out = ["sales"] + (["n"] if counts else [])
     li = tables.lineitem
     if k <= _PART_KEYS | {"product_id"}:
-        by_part = li.groupBy("l_partkey").agg(F.sum(price).alias("sales"))
+        by_part = li.groupBy("l_partkey").agg(*partial)
         if k - {"product_id"}:
             by_part = by_part.join(tables.part, F.col("l_partkey") == F.col("p_partkey"))
-        return by_part.select(*[_EXPR[c][1]() for c in keys], "sales")
+        return by_part.select(*[_EXPR[c][1]() for c in keys], *out)
     if k <= _ORDER_KEYS | _CUSTOMER_KEYS:
-        by_order = li.groupBy("l_orderkey").agg(F.sum(price).alias("sales"))
+        by_order = li.groupBy("l_orderkey").agg(*partial)
         df = by_order.join(tables.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if not k & _ORDER_KEYS:
-            df = df.groupBy("o_custkey").agg(F.sum("sales").alias("sales"))
+            df = df.groupBy("o_custkey").agg(*regroup)
         if k & _CUSTOMER_KEYS:
             df = df.join(tables.customer, F.col("o_custkey") == F.col("c_custkey"))
         if k & {"state", "region"}:
             df = df.join(tables.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         if "region" in k:
             df = df.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        return df.select(*[_EXPR[c][1]() for c in keys], "sales")
-    return sales_view(tables, list(keys) + ["sales"]).withColumn("sales", F.col("sales").cast("decimal(18,4)"))
+        return df.select(*[_EXPR[c][1]() for c in keys], *out)
+    lines = sales_view(tables, list(keys) + ["sales"]).withColumn(
+        "sales", F.col("sales").cast("decimal(18,4)"))
+    return lines.withColumn("n", F.col("sales").isNotNull().cast("bigint")) if counts else lines
