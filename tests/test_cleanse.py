@@ -88,10 +88,10 @@ def test_raw_csv_decimal_comma_and_corrupt_line(spark):
     header = ("Row ID;Order ID;Order Date;Ship Date;Ship Mode;Customer ID;Customer Name;Segment;"
               "Country;City;State;Postal Code;Region;Product ID;Category;Sub-Category;Product Name;Sales")
     lines = [header,
-             "1;10;08.11.2020;11.11.2020;Second Class;5;Claire Gute;Consumer;United States;"
-             "Henderson;Kentucky;42420;South;3;Furniture;Bookcases;Bush Somerset;261,96",
-             "2;11;08.11.2020;11.11.2020;Second Class;5;Claire Gute;Consumer;United States;"
-             "Burlington;Vermont;;East;4;Furniture;Chairs;Hon Deluxe;731,94",
+             "1;10;08.11.2020;11.11.2020;Second Class;5;Ann Example;Consumer;United States;"
+             "Springfield;Ohio;42420;South;3;Furniture;Shelves;Oak Shelf;261,96",
+             "2;11;08.11.2020;11.11.2020;Second Class;5;Ann Example;Consumer;United States;"
+             "Burlington;Vermont;;East;4;Furniture;Chairs;Desk Chair;731,94",
              "3;12;oops"]
     with open(os.path.join(d, "part.csv"), "w") as fh:
         fh.write("\n".join(lines) + "\n")
