@@ -65,14 +65,19 @@ def run_datamart(spark: SparkSession, ods_path: str, out_root: str,
 
 def run_forecast(spark: SparkSession, ods_path: str, out_path: str, steps: int = 7,
                  series_cols: list[str] | None = None,
-                 order=forecast.DEFAULT_ORDER, seasonal=forecast.DEFAULT_SEASONAL) -> DataFrame:
+                 order=forecast.DEFAULT_ORDER, seasonal=forecast.DEFAULT_SEASONAL,
+                 csv_path: str | None = None) -> DataFrame:
     """ODS -> forecast mart: daily series per ``series_cols`` (one overall
-    series by default), one SARIMA fit per series in parallel."""
+    series by default), one SARIMA fit per series in parallel; optionally
+    also exported as headed CSV (K3)."""
     ods = files.read_ods(spark, ods_path)
     daily = ts.daily_series(ods, series_cols=series_cols)
     out = forecast.sarima_forecast(daily, steps, order, seasonal)
     out.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+    result = spark.read.parquet(out_path)
+    if csv_path:
+        files.write_csv(result.select("series_id", "prediction_date", "predicted_sales"), csv_path)
+    return result
 
 
 def run_daily(spark: SparkSession, landing_path: str, ods_path: str,
@@ -109,6 +114,7 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("out_path")
     a.add_argument("--steps", type=int, default=7)
     a.add_argument("--series", nargs="*", default=None)
+    a.add_argument("--csv", default=None)
     a = sub.add_parser("daily")
     a.add_argument("landing_path")
     a.add_argument("ods_path")
@@ -123,7 +129,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "datamart":
         run_datamart(spark, args.ods_path, args.out_root)
     elif args.step == "forecast":
-        run_forecast(spark, args.ods_path, args.out_path, args.steps, args.series)
+        run_forecast(spark, args.ods_path, args.out_path, args.steps, args.series,
+                     csv_path=args.csv)
     elif args.step == "daily":
         run_daily(spark, args.landing_path, args.ods_path, args.as_of)
 

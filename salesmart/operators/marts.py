@@ -134,3 +134,21 @@ def top_n_per_group(sales: DataFrame, group: list[str], keys: list[str], k: int,
     out = (g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .withColumn("rank", F.col("rank").cast("bigint")))
     return _post(out, post, measure)
+
+
+CAPTIONED_MARTS = ("top_categories", "top_products", "top_segments", "top_shippings")
+
+
+def grand_totals(built: dict[str, DataFrame]) -> DataFrame:
+    """A11 for the reference's captioned marts: one row per mart with its
+    total and the '$' + integer caption. ``built`` maps mart name -> mart
+    frame; the top-products total adds the mart's rounded top-8 values, as
+    the caption under that chart does."""
+    parts = [built[name].agg(F.sum("sales").alias("total")).select(
+                 F.lit(name).alias("mart"), round_even("total", 2).alias("total"),
+                 currency_label("total").alias("label"))
+             for name in CAPTIONED_MARTS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

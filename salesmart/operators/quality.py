@@ -25,6 +25,16 @@ def _long_form(df: DataFrame, columns: list[str], value_exprs) -> DataFrame:
     return agg.selectExpr(f"stack({n}, {args}) AS (column_name, value)")
 
 
+def rows_missing(df: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is NULL (data-quality drill-down)."""
+    return df.where(F.col(f"`{column}`").isNull())
+
+
+def rows_with(df: DataFrame, column: str, value) -> DataFrame:
+    """The rows whose ``column`` equals ``value``."""
+    return df.where(F.col(f"`{column}`") == F.lit(value))
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Number of NULLs per column, in one scan."""
     out = _long_form(df, df.columns, lambda c: F.count_if(F.col(f"`{c}`").isNull()))

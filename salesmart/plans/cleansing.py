@@ -148,3 +148,21 @@ def date_profile(t: Tables) -> DataFrame:
 def frame_info(t: Tables) -> DataFrame:
     """info(): position, name, type and non-null count of each ODS column."""
     return quality.frame_info(sales_view(t))
+
+
+@query("postal_gaps", with_sales(
+    "SELECT order_id, customer_id, city, state, postal_code FROM sales WHERE postal_code IS NULL"))
+def postal_gaps(t: Tables) -> DataFrame:
+    """Lines whose postal code is missing."""
+    cols = ["order_id", "customer_id", "city", "state", "postal_code"]
+    return quality.rows_missing(sales_view(t, cols), "postal_code")
+
+
+@query("postal_filled_rows", with_sales(
+    "SELECT order_id, customer_id, city, state, COALESCE(postal_code, 5401) AS postal_code "
+    "FROM sales WHERE COALESCE(postal_code, 5401) = 5401"))
+def postal_filled_rows(t: Tables) -> DataFrame:
+    """P7 after P4: lines carrying the fill value."""
+    cols = ["order_id", "customer_id", "city", "state", "postal_code"]
+    filled = cleanse.fill_postal_code(sales_view(t, cols))
+    return quality.rows_with(filled, "postal_code", cleanse.DEFAULT_POSTAL_CODE)

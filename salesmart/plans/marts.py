@@ -109,3 +109,27 @@ def top_products_per_region(t: Tables) -> DataFrame:
     """Top-3 products inside each region."""
     return marts.top_n_per_group(star_sum(t, ["region", "product_name"]),
                                  ["region"], ["product_name"], 3)
+
+
+def _grand_sql() -> str:
+    parts = []
+    for name, key, k, rounded in (("top_categories", "category", None, False),
+                                   ("top_products", "product_name", 8, True),
+                                   ("top_segments", "segment", None, False),
+                                   ("top_shippings", "ship_mode", None, False)):
+        v = "round_even(s * 100, 0) / 100" if rounded else "s"
+        lim = f" ORDER BY s DESC, {key} LIMIT {k}" if k else ""
+        parts.append(f"""SELECT '{name}' AS mart, round_even(SUM(v) * 100, 0) / 100 AS total,
+       '$' || CAST(CAST(trunc(SUM(v)) AS BIGINT) AS VARCHAR) AS label
+FROM (SELECT {v} AS v FROM (SELECT {key}, {_SUM} AS s FROM sales WHERE {key} IS NOT NULL
+      GROUP BY {key}{lim}) a) b""")
+    return with_sales("\nUNION ALL\n".join(parts))
+
+
+@query("mart_grand_totals", _grand_sql())
+def mart_grand_totals(t: Tables) -> DataFrame:
+    """A11 + P18: totals and '$' captions of the category, top-8 product,
+    segment and ship-mode marts."""
+    built = {name: marts.mart(star_sum(t, marts.MARTS[name]["keys"]), name)
+             for name in marts.CAPTIONED_MARTS}
+    return marts.grand_totals(built)

@@ -83,8 +83,14 @@ def write_ods(df: DataFrame, path: str, mode: str = "overwrite",
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.repartitionByRange(partition_col, cluster_by).write.mode(mode)
-       .partitionBy(partition_col).parquet(path))
+    (df.repartitionByRange(partition_col, cluster_by)
+       .sortWithinPartitions(partition_col, cluster_by)   # tight row-group min/max
+       .write.mode(mode).partitionBy(partition_col).parquet(path))
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
+    """K3: headed CSV export (e.g. the forecast mart)."""
+    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
 def read_ods(spark: SparkSession, path: str) -> DataFrame:

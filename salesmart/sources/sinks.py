@@ -10,9 +10,10 @@ from salesmart.operators import marts
 
 
 def build_marts(sales: DataFrame) -> dict[str, DataFrame]:
-    """All nine marts of the reference, lazily, keyed by mart name."""
+    """All nine marts of the reference plus their captions, lazily, by name."""
     out = {name: marts.mart(sales, name) for name in marts.MARTS}
     out["top_sub_categories_all"] = marts.top_sub_categories_all(sales)
+    out["mart_grand_totals"] = marts.grand_totals(out)
     return out
 
 
