@@ -43,20 +43,31 @@ def build_session(master: str | None = None, app_name: str = "salesmart",
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only when it is unset (local runs and tests) a fresh folder is made and
-    registered, so every later call in this session sees the same one.
+    Only when it is unset (local runs and tests) a fresh folder is made once
+    per application and registered as the context's checkpoint directory
+    (the conf itself cannot be changed on a running session).
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app not in _LOCAL_DIRS:
+        existing = sc.getCheckpointDir()
+        if existing:
+            _LOCAL_DIRS[app] = existing
+        else:
+            path = tempfile.mkdtemp(prefix="salesmart-ckpt-")
+            sc.setCheckpointDir(path)
+            _LOCAL_DIRS[app] = path
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
