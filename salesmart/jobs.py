@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import cleanse, correlate, forecast, geo
 from salesmart.operators import series as ts
+from salesmart.session import materialize
 from salesmart.sources import files, sinks
 
 CORR_DIMENSIONS = ("segment", "category", "ship_mode")
@@ -71,7 +72,7 @@ def run_forecast(spark: SparkSession, ods_path: str, out_path: str, steps: int =
     series by default), one SARIMA fit per series in parallel; optionally
     also exported as headed CSV (K3)."""
     ods = files.read_ods(spark, ods_path)
-    daily = ts.daily_series(ods, series_cols=series_cols)
+    daily = materialize(ts.daily_series(ods, series_cols=series_cols))
     out = forecast.sarima_forecast(daily, steps, order, seasonal)
     out.write.mode("overwrite").parquet(out_path)
     result = spark.read.parquet(out_path)

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from salesmart.functions.numeric import round4
 from salesmart.operators import forecast, series as ts, stationarity
 from salesmart.plans.registry import query
+from salesmart.session import materialize
 from salesmart.sources.star import star_sum
 from salesmart.sources.tables import Tables
 
 
 def _series(t: Tables) -> DataFrame:
-    """Daily series from per-order partial sums and counts (eager aggregation)."""
-    return ts.daily_series(star_sum(t, ["order_date"], counts=True), count_col="n")
+    """Daily series from per-order partial sums and counts (eager aggregation),
+    checkpointed in front of the model fits."""
+    return materialize(ts.daily_series(star_sum(t, ["order_date"], counts=True), count_col="n"))
 
 
 @query("adf_test")
@@ -64,6 +66,6 @@ def sarima_forecast(t: Tables) -> DataFrame:
 def sarima_forecast_by_region(t: Tables) -> DataFrame:
     """T14 per region: one daily series and one model per region, fitted in
     parallel (one applyInPandas group each)."""
-    s = ts.daily_series(star_sum(t, ["order_date", "region"], counts=True),
-                        series_cols=["region"], count_col="n")
+    s = materialize(ts.daily_series(star_sum(t, ["order_date", "region"], counts=True),
+                                    series_cols=["region"], count_col="n"))
     return forecast.sarima_forecast(s, 7)

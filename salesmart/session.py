@@ -74,3 +74,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one output."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    Used for small, expensive-to-rebuild intermediates (a daily series built
+    from all order lines) in front of long stages such as model fits: a lost
+    executor then re-reads the checkpoint instead of re-running the
+    aggregation over the lines. Reliable checkpoint, never local.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
