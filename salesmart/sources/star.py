@@ -63,18 +63,29 @@ def sales_view(tables: Tables, columns: list[str] | None = None,
 
     df = tables.lineitem
     if "orders" in need:
-        df = df.join(tables.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if "customer" in need:
-        df = df.join(tables.customer, F.col("o_custkey") == F.col("c_custkey"))
-    if "nation" in need:
-        df = df.join(tables.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    if "region" in need:
-        df = df.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey"))
+        df = df.join(_order_dimension(tables, need), F.col("l_orderkey") == F.col("o_orderkey"))
     if "part" in need:
         df = df.join(tables.part, F.col("l_partkey") == F.col("p_partkey"))
     return df.select(*[_EXPR[c][1]() for c in columns])
 
 
+def _order_dimension(tables: Tables, need: set) -> DataFrame:
+    """orders with the customer / nation / region attributes ``need`` asks for.
+
+    Customer attributes are attached at order grain (one row per order),
+    before the lines join: the customer join then shuffles orders, not the
+    four-times-larger lines, and the lines are shuffled once, by order key.
+    """
+    od = tables.orders
+    if "customer" in need:
+        od = od.join(tables.customer, F.col("o_custkey") == F.col("c_custkey"))
+    if "nation" in need:
+        od = od.join(tables.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    if "region" in need:
+        od = od.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return od
+
+
 # SQL text of the same view, for the DuckDB oracle (tables registered as views).
 SALES_SQL = """
 SELECT o.o_orderkey AS order_id,
@@ -120,7 +131,9 @@ def star_sum(tables: Tables, keys: list[str], counts: bool = False) -> DataFrame
     * order / customer attributes only: lines -> sum per order -> join
       orders, and when no order attribute is needed -> sum per customer ->
       join customer (-> nation -> region);
-    * mixed keys: the line-grain star join.
+    * order-side and part-side keys together: lines joined to the order
+      side, summed per (order-side keys, part key), then joined to part;
+    * keys of the line itself (order id, ship date, product id): line grain.
 
     Every partial aggregate runs map-side first, so a key holding a third of
     all lines (a hot customer, a best-selling part) collapses to one row per
@@ -155,6 +168,17 @@ def star_sum(tables: Tables, keys: list[str], counts: bool = False) -> DataFrame
         if "region" in k:
             df = df.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey"))
         return df.select(*[_EXPR[c][1]() for c in keys], *out)
+    if not k & _LINE_KEYS:
+        # Order-side and part-side keys: resolve the order-side keys on the
+        # lines, sum per (order-side keys, part key) - map-side first - and
+        # join part at that grain instead of line grain.
+        order_keys = [c for c in keys if c not in _PART_KEYS]
+        need = set().union(*(_EXPR[c][0] for c in order_keys))
+        lines = li.join(_order_dimension(tables, need), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = lines.select(*[_EXPR[c][1]() for c in order_keys], "l_partkey", "l_extendedprice")
+        by_part = lines.groupBy(*order_keys, "l_partkey").agg(*partial)
+        by_part = by_part.join(tables.part, F.col("l_partkey") == F.col("p_partkey"))
+        return by_part.select(*[F.col(c) if c in order_keys else _EXPR[c][1]() for c in keys], *out)
     lines = sales_view(tables, list(keys) + ["sales"]).withColumn(
         "sales", F.col("sales").cast("decimal(18,4)"))
     return lines.withColumn("n", F.col("sales").isNotNull().cast("bigint")) if counts else lines
