@@ -1,5 +1,7 @@
 """Structured Streaming ingest, dedupe and daily windows on the events table."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from salesmart.session import scratch_path
@@ -39,3 +41,16 @@ def test_daily_windows_complete(spark, data_dir):
     want = {r.d: r.n for r in spark.read.parquet(f"{data_dir}/events.parquet")
             .groupBy(F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == want
+
+
+def test_daily_windows_append_emits_closed_days_only(spark, data_dir):
+    totals = ingest.daily_totals(ingest.with_event_time(_stream(spark, data_dir)))
+    out, ckpt = scratch_path(spark, "t-daily-app"), scratch_path(spark, "t-daily-app-ckpt")
+    ingest.run_to_parquet(totals, out, ckpt, output_mode="append")
+    got = {r.day for r in spark.read.parquet(out).collect()}
+    ev = spark.read.parquet(f"{data_dir}/events.parquet")
+    days = {r.d for r in ev.select(F.to_date("ts").alias("d")).distinct().collect()}
+    watermark = ev.agg(F.max("ts")).first()[0] - dt.timedelta(days=1)   # delay: 1 day
+    # A day is final once its window end is behind the watermark; later days stay open.
+    closed = {d for d in days if dt.datetime.combine(d, dt.time()) + dt.timedelta(days=1) <= watermark}
+    assert got == closed and len(closed) < len(days)
