@@ -88,20 +88,21 @@ def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """``describe()`` in long form: (column_name, stat, value).
 
     Stats: count, mean (exact decimal sum / count), std (sample), min,
-    25%, 50%, 75% (exact, interpolated), max. Two aggregates per column,
-    combined by union, so no join is needed.
+    25%, 50%, 75% (exact, interpolated), max. The moments of every column
+    come from one aggregate (one scan); each column's quantiles from its own
+    distributed rank pipeline; the parts are combined by union.
     """
-    parts = []
-    for c in columns:
+    aggs = []
+    for i, c in enumerate(columns):
         v = F.col(f"`{c}`")
-        basic = df.agg(F.count(v).cast("double").alias("count"),
-                       money_mean(v).alias("mean"),
-                       F.stddev_samp(v.cast("double")).alias("std"),
-                       F.min(v).cast("double").alias("min"),
-                       F.max(v).cast("double").alias("max"))
-        parts.append(basic.selectExpr(
-            f"stack(5, 'count', count, 'mean', mean, 'std', std, 'min', min, 'max', max) AS (stat, value)"
-        ).select(F.lit(c).alias("column_name"), "stat", "value"))
+        aggs += [F.count(v).cast("double").alias(f"count{i}"), money_mean(v).alias(f"mean{i}"),
+                 F.stddev_samp(v.cast("double")).alias(f"std{i}"),
+                 F.min(v).cast("double").alias(f"min{i}"), F.max(v).cast("double").alias(f"max{i}")]
+    stats = ("count", "mean", "std", "min", "max")
+    args = ", ".join(f"'{c}', '{st}', {st}{i}" for i, c in enumerate(columns) for st in stats)
+    parts = [df.agg(*aggs).selectExpr(
+        f"stack({len(columns) * len(stats)}, {args}) AS (column_name, stat, value)")]
+    for c in columns:
         q = exact_quantiles(df, c)
         parts.append(q.selectExpr(
             "stack(3, '25%', q0, '50%', q1, '75%', q2) AS (stat, value)"
