@@ -130,7 +130,7 @@ def residual_acf(t: Tables) -> DataFrame:
 , g AS (SELECT series_id, regr_count(dy, ylag) AS nobs, regr_sxx(dy, ylag) AS sxx, regr_sxy(dy, ylag) AS sxy,
                regr_syy(dy, ylag) AS syy, regr_slope(dy, ylag) AS gamma, regr_intercept(dy, ylag) AS const
         FROM d GROUP BY series_id)
-SELECT series_id, nobs, {_r4('gamma')} AS gamma, {_r4('const')} AS const,
+SELECT series_id, CAST(nobs AS BIGINT) AS nobs, {_r4('gamma')} AS gamma, {_r4('const')} AS const,
        {_r4('gamma / sqrt((syy - sxy * sxy / sxx) / (nobs - 2) / sxx)')} AS t_stat FROM g"""))
 def dickey_fuller_lag0(t: Tables) -> DataFrame:
     """T5 (no augmentation): Dickey-Fuller regression by regression aggregates."""

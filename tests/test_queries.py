@@ -29,12 +29,22 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+# Spark simple type -> DuckDB type name, for the schema half of the check.
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, data_dir, name):
-    got = E.queries()[name](spark, data_dir).toPandas()
+    df = E.queries()[name](spark, data_dir)
+    got = df.toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(got) > 0
         return
+    rel = duck.sql(sql)
+    types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for f in df.schema.fields:
+        assert DUCK_TYPES[f.dataType.simpleString()] == types[f.name], (f.name, types[f.name])
     ok, msg = compare(got, duck.execute(sql).df())
     assert ok, msg
