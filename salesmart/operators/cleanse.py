@@ -80,8 +80,9 @@ def records_to_ods(records: DataFrame) -> DataFrame:
     back = {v: k for k, v in HEADER_NAMES.items()}
     cols = [F.col(f"`{f.name}`").alias(back[f.name]) for f in API_RECORD_SCHEMA.fields]
     df = records.select(*cols)
-    df = df.withColumn("order_date", F.to_date("order_date", "yyyy-MM-dd")) \
-           .withColumn("ship_date", F.to_date("ship_date", "yyyy-MM-dd"))
+    # ISO dates; malformed text becomes NULL instead of failing the load.
+    df = df.withColumn("order_date", parse_text_date("order_date", "yyyy-MM-dd")) \
+           .withColumn("ship_date", parse_text_date("ship_date", "yyyy-MM-dd"))
     return project_ods(df)
 
 

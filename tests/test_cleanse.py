@@ -111,10 +111,12 @@ def test_api_json_array_file(spark):
            "Region": "East", "Product ID": 5, "Category": "Technology", "Sub-Category": "Phones",
            "Product Name": "Phone", "Sales": 99.99}
     other = dict(rec, **{"Order Date": "2023-06-02"})
+    broken = dict(rec, **{"Order Date": "02/06/2023"})      # malformed date: NULL, not a failure
     with open(os.path.join(d, "resp.json"), "w") as fh:
-        json.dump([rec, other], fh)
+        json.dump([rec, other, broken], fh)
     recs = files.read_api_json(spark, d)
-    assert recs.count() == 2
+    assert recs.count() == 3
+    assert cleanse.records_to_ods(recs).where(F.col("order_date").isNull()).count() == 1
     day = cleanse.daily_increment(recs, "2023-06-01").collect()
     assert len(day) == 1 and day[0].customer_name == "D'Arcy" and day[0].customer_id == 77
     assert day[0].order_id is None  # a text id that is not a number stays visible as NULL
