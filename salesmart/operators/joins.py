@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def bounded_rows(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
 
@@ -17,5 +22,4 @@ def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     as soon as the bound is exceeded. Beyond the bound the frame is returned
     unmarked and the planner falls back to a shuffled (sort-merge) join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df

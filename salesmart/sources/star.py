@@ -22,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.operators.joins import MAX_BROADCAST_ROWS, bounded_rows
 from salesmart.schema import ODS_COLUMNS
 from salesmart.sources.tables import Tables
 
@@ -77,12 +78,20 @@ def _order_dimension(tables: Tables, need: set) -> DataFrame:
     four-times-larger lines, and the lines are shuffled once, by order key.
     """
     od = tables.orders
-    if "customer" in need:
-        od = od.join(tables.customer, F.col("o_custkey") == F.col("c_custkey"))
+    if "customer" not in need:
+        return od  # a plain scan: Spark sizes it from the files
+    od = od.join(tables.customer, F.col("o_custkey") == F.col("c_custkey"))
     if "nation" in need:
         od = od.join(tables.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     if "region" in need:
         od = od.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    # The joined frame has no file size for the planner to go by. Every join
+    # above is on a dimension's primary key, so it has at most as many rows as
+    # orders: when a bounded count of orders is under the broadcast bound,
+    # broadcast it (one pass over the lines, no shuffle); otherwise the lines
+    # and the order dimension meet in a sort-merge join.
+    if bounded_rows(tables.orders, MAX_BROADCAST_ROWS):
+        od = F.broadcast(od)
     return od
 
 
