@@ -21,9 +21,11 @@ from __future__ import annotations
 import datetime as _dt
 import itertools
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -354,3 +356,9 @@ def sarima_forecast(series: DataFrame, steps: int = 7, order=DEFAULT_ORDER,
 
     return (series.select("series_id", "ds", "idx", "y").groupBy("series_id")
                   .applyInPandas(run, FORECAST_SCHEMA))
+
+
+# The group functions above run in Python workers, which need not have this
+# package on their path (e.g. a driver importing it from a checkout): ship
+# this module's functions with the tasks, by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -15,9 +15,11 @@ regression is refitted at the chosen lag on its own, longer sample.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 # MacKinnon (1994) p-value surface, constant-only case, one
@@ -130,3 +132,9 @@ def adf_test(series: DataFrame) -> DataFrame:
     """T5+T6 for every series of a (series_id, idx, y) frame."""
     return (series.select("series_id", "idx", "y")
                   .groupBy("series_id").applyInPandas(_adf_group, ADF_SCHEMA))
+
+
+# The group functions above run in Python workers, which need not have this
+# package on their path (e.g. a driver importing it from a checkout): ship
+# this module's functions with the tasks, by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
