@@ -156,18 +156,33 @@ def _lm(fun, x0, max_iter: int = 100, tol: float = 1e-10):
     return x, J, ok
 
 
-def fit_sarima(y, order=DEFAULT_ORDER, seasonal=DEFAULT_SEASONAL) -> dict:
-    """Fit one model by CSS. Returns params, errors, sigma2, aic and residuals."""
+def conditioning(order, seasonal) -> int:
+    """Observations a model needs before its first residual: p + d + m (P + D)."""
+    p, d, _ = order
+    P, D, _, m = seasonal
+    return p + d + m * (P + D)
+
+
+def fit_sarima(y, order=DEFAULT_ORDER, seasonal=DEFAULT_SEASONAL,
+               score_from: int | None = None) -> dict:
+    """Fit one model by CSS. Returns params, errors, sigma2, aic and residuals.
+
+    ``score_from`` (an observation index) makes the fit and its AIC use only
+    residuals from that observation on: models with different differencing
+    orders are then compared on the same sample, as the grid search does.
+    """
     y = np.asarray(y, dtype=float)
     p, d, q = order
     P, D, Q, m = seasonal
     k = p + q + P + Q
     scale = float(np.std(y)) or 1.0
     z = y / scale  # conditioning only; the model is scale-invariant
+    skip = max(0, (score_from or 0) - conditioning(order, seasonal))
 
     def fun(theta):
         with np.errstate(all="ignore"):
             e, _ = _residuals(z, theta, order, seasonal)
+        e = e[skip:]
         if not np.all(np.isfinite(e)) or np.max(np.abs(e)) > 1e8:
             return np.full(len(e), 1e8)
         return e
@@ -178,8 +193,9 @@ def fit_sarima(y, order=DEFAULT_ORDER, seasonal=DEFAULT_SEASONAL) -> dict:
         params, J, ok = np.zeros(0), np.zeros((0, 0)), True
     e, r = _residuals(z, params, order, seasonal)
     ok = ok and bool(np.all(np.isfinite(e)))
-    n_eff = len(e)
-    ssr = float(e @ e)
+    scored = e[skip:]
+    n_eff = len(scored)
+    ssr = float(scored @ scored)
     sigma2_z = ssr / n_eff
     if k and J is not None and J.size:
         try:
@@ -243,7 +259,7 @@ def _grid_group(pdf: pd.DataFrame) -> pd.DataFrame:
            "aic": None, "sigma2": None, "converged": False, "error": None}
     try:
         y = pdf["y"].dropna().to_numpy()
-        fit = fit_sarima(y, order, seasonal)
+        fit = fit_sarima(y, order, seasonal, score_from=int(first["score_from"]))
         out.update(aic=fit["aic"], sigma2=fit["sigma2"], converged=fit["converged"])
     except Exception as exc:  # reported per model, not skipped
         out["error"] = f"{type(exc).__name__}: {exc}"[:500]
@@ -257,15 +273,20 @@ def sarima_grid(series: DataFrame, grid: list[tuple] | None = None,
 
     The grid is a fixed list (64 orders by default); each series row is
     repeated once per order so that every (series, order) is its own
-    group. ``repartition`` fixes the task count so the fits spread over
+    group. All orders are fitted and scored on the same observations (after
+    the grid's longest conditioning window), so their AICs are comparable. ``repartition`` fixes the task count so the fits spread over
     executors even though the shuffled bytes are small.
     """
     grid = grid or order_grid()
     cfgs = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(
         ("ar", "diff", "ma", "sar", "sdiff", "sma", "season"), g)]) for g in grid])
     keys = ["series_id", "ar", "diff", "ma", "sar", "sdiff", "sma", "season"]
+    # Every order of the grid is scored on the same observations: those after
+    # the longest conditioning window in the grid.
+    score_from = max(conditioning(g[:3], g[3:]) for g in grid)
     tasks = (series.select("series_id", "idx", "y").withColumn("cfg", F.explode(cfgs))
-                   .select("series_id", "cfg.*", "idx", "y"))
+                   .select("series_id", "cfg.*", "idx", "y",
+                           F.lit(score_from).alias("score_from")))
     n = partitions or int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fits = tasks.repartition(n, *keys).groupBy(*keys).applyInPandas(_grid_group, GRID_SCHEMA)
     best = F.min_by(F.struct(*keys[1:]), F.col("aic")).over(Window.partitionBy("series_id"))

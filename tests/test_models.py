@@ -127,3 +127,12 @@ def test_grid_search_marks_one_best_per_series(spark):
     assert len(out) == 3 and sum(r.best for r in out) == 1
     best = [r for r in out if r.best][0]
     assert best.aic == min(r.aic for r in out) and (best.ar, best.ma) == (1, 0)
+
+
+def test_grid_scores_every_order_on_the_same_sample():
+    y = _ar1(400, 0.5, 11)
+    grid = forecast.order_grid()
+    start = max(forecast.conditioning(g[:3], g[3:]) for g in grid)
+    assert start == 26
+    n = {forecast.fit_sarima(y, g[:3], g[3:], score_from=start)["n_eff"] for g in grid[:8] + grid[-8:]}
+    assert n == {400 - start}
