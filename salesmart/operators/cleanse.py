@@ -1,8 +1,8 @@
 """Cleansing and layer moves: STG text -> typed ODS, daily increments.
 
 All operators are narrow (no shuffle) except the keyed postal-code fill and
-the whole-day replacement, whose right sides are small aggregates checked
-before they are broadcast.
+the whole-day replacement, whose right sides are small aggregates that AQE
+broadcasts from their runtime size.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.dates import RAW_DATE_FORMAT, parse_text_date, shift_years
-from salesmart.operators.joins import broadcast_bounded
 from salesmart.schema import API_RECORD_SCHEMA, HEADER_NAMES, ODS_COLUMNS, ODS_SCHEMA
 
 # The constant postal code the reference writes into every gap.
@@ -64,13 +63,14 @@ def postal_lookup(df: DataFrame) -> DataFrame:
 def fill_postal_by_city(df: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """P5: fill a missing postal code from the same (state, city).
 
-    The lookup has one row per (state, city) - a dimension-sized aggregate -
-    and is broadcast when its row count is under the bound; otherwise the
-    join is shuffled and AQE splits a hot city's partition.
+    The lookup has one row per (state, city) - a dimension-sized aggregate of
+    the same data - so its size is only known once it is computed: AQE sees
+    the aggregate's runtime size and turns the join into a broadcast when it
+    is small (no extra pass to count it first); otherwise the join stays
+    shuffled and AQE splits a hot city's partition.
     """
     lookup = postal_lookup(df) if lookup is None else lookup
-    side = broadcast_bounded(lookup)
-    return (df.join(side, ["state", "city"], "left")
+    return (df.join(lookup, ["state", "city"], "left")
               .withColumn("postal_code", F.coalesce("postal_code", "known_postal_code"))
               .select(*df.columns))
 
@@ -126,9 +126,10 @@ def replace_days(archive: DataFrame, increment: DataFrame, key: str = "order_dat
 
     Idempotent without a row key: re-delivering a day replaces that day
     instead of duplicating it, and two identical lines inside a delivery are
-    both kept. The set of delivered days is tiny and broadcast after a check.
+    both kept. The set of delivered days is tiny; AQE broadcasts it from its
+    runtime size, so the increment is not computed twice to count it.
     """
-    days = broadcast_bounded(increment.select(key).where(F.col(key).isNotNull()).distinct())
+    days = increment.select(key).where(F.col(key).isNotNull()).distinct()
     kept = archive.join(days, key, "left_anti")
     return kept.unionByName(increment.select(*archive.columns))
 
