@@ -33,8 +33,12 @@ def test_layer_jobs(spark, data_dir):
     want = {r.customer_name: r.sales for r in marts.mart(sales, "top_customers").collect()}
     assert got == want
 
-    fc = jobs.run_forecast(spark, ods_path, scratch_path(spark, "t-fc"))
+    csv_out = scratch_path(spark, "t-fc-csv")
+    fc = jobs.run_forecast(spark, ods_path, scratch_path(spark, "t-fc"), csv_path=csv_out)
     assert fc.count() == 7
+    exported = spark.read.option("header", True).csv(csv_out)
+    assert exported.columns == ["series_id", "prediction_date", "predicted_sales"]
+    assert exported.count() == 7
 
     # Daily load: a landed API response for one day replaces that day only.
     day = sales.agg(F.max("order_date")).first()[0]
