@@ -151,13 +151,20 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
            documents: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Labelled text of each language, of rows that are not held out: a bounded, hash-ordered sample.
 
-    ``row_number() <= documents`` prunes to that many rows per language in every task before the shuffle.
+    A sampled text gives at most 20 times its share of the characters.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
+    by_hash = Window.partitionBy("lang").orderBy("hash", "id", "text")
+    # A hash share of each language's rows that holds the sample a few times over; its first by hash are the sample.
+    # One row per language reaches the driver here.
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return {}
+    shares = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(int(min(1.0, 4 * documents / n) * (1 << 30))))])
     share = F.substring("text", 1, max(1, 20 * chars // documents))
-    few = rows.select("lang", "id", share.alias("text")).withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= documents)
+    few = rows.withColumn("hash", F.xxhash64("id", "text")).where(F.pmod("hash", F.lit(1 << 30)) < shares[F.col("lang")]).select(
+        "lang", "id", "hash", share.alias("text")).withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= documents)
     out: dict[str, list[str]] = {}
     for lang, text, _ in sorted({(r["lang"], r["text"], r["n"]) for r in few.select("lang", "text", "n").collect()},
                                 key=lambda r: (r[0], r[2])):

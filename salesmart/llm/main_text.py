@@ -235,8 +235,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """Per page: page_id, url, text, n_chars."""
     rows = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"),
                         F.coalesce(pages[html_col], F.lit("")).alias("html"))
-    # Bounded: so many pages, of the short and middle-sized ones.
-    taught = rows.where(F.length("html").between(1, 100_000)).select("html").orderBy(F.xxhash64("html"), "html").limit(sample_pages)
+    # A hash share of the pages that holds the sample a few times over, then its first by hash: the driver gets
+    # ``sample_pages`` pages, and few are looked at to find them, whatever the table's size.
+    fair = rows.where(F.length("html").between(1, 100_000))
+    share = min(1.0, 8 * sample_pages / max(1, rows.select(F.lit(1)).count()))
+    taught = fair.where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(share * (1 << 30))).select("html").orderBy(
+        F.xxhash64("html"), "html").limit(sample_pages)
     weights = fit([r["html"] for r in taught.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
