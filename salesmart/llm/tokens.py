@@ -10,9 +10,10 @@ with encoding whole texts).
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 
@@ -20,9 +21,10 @@ from salesmart.llm.common import per_process
 
 VOCABULARY = "byte_bpe_50k.json"
 _GAP = re.compile(r"(?<=\S) (?=\S)")
-_ODD = -1
-#: A piece whose pre-tokens are plain to see: letters, then a run of punctuation.
-_PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_POINTS = "[.,;:!?%#$&*-]"
+#: A piece whose pre-tokens are plain to see: letters, a run of punctuation, and perhaps the same after a line's end.
+_PLAIN = re.compile(f"( ?{_LETTERS})({_POINTS}*)(?:(\n)({_LETTERS})({_POINTS}*))?")
 
 
 def _byte_letters() -> list[str]:
@@ -34,25 +36,22 @@ def _byte_letters() -> list[str]:
 
 
 class _Pieces(dict):
-    """Piece -> its number in ``words``; ``_ODD`` where cutting at the space is unsafe."""
+    """Piece -> its number; a new piece goes to ``fresh`` with what leads it."""
 
-    def __init__(self, words: list[str], lead: str):
+    def __init__(self, fresh: list[str], lead: str):
         super().__init__()
-        self.words, self.lead = words, lead
+        self.fresh, self.lead, self.numbers = fresh, lead, None
 
     def __missing__(self, piece: str) -> int:
-        odd = not piece or piece[-1].isspace() or (self.lead and piece[0].isspace())
-        number = _ODD if odd else len(self.words)
-        if not odd:
-            self.words.append(self.lead + piece)
-        self[piece] = number
+        number = self[piece] = next(self.numbers)
+        self.fresh.append(self.lead + piece)
         return number
 
 
 class Encoder:
     """Ids of texts. The cache is emptied when it holds ``max_pieces``, which bounds its memory."""
 
-    def __init__(self, path: str, max_pieces: int = 300_000):
+    def __init__(self, path: str, max_pieces: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -63,79 +62,89 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.words: list[str] = []
-        self.first, self.later = _Pieces(self.words, ""), _Pieces(self.words, " ")
-        self.whole: dict[str, int] = {}
-        self.pre_tokens: dict[str, list[int]] = {}
+        self.fresh: list[str] = []
+        self.whole, self.later = _Pieces(self.fresh, ""), _Pieces(self.fresh, " ")
+        self.whole.numbers = self.later.numbers = count()
+        self.pre_tokens: dict[str, tuple[int, ...]] = {}
         self.known = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros((1 << 14) + 1, np.int64)
+        self.odd = np.zeros(1 << 14, bool)  # later pieces beside which there is more white space
 
-    def _number(self, piece: str) -> int:
-        n = self.whole.get(piece)
-        if n is None:
-            n = self.whole[piece] = len(self.words)
-            self.words.append(piece)
-        return n
-
-    def _numbers(self, text: str) -> list[int]:
-        if not text:
-            return []
-        parts = text.split(" ")
-        later = self.later
-        if len(parts) == 1:
-            return [self._number(text)]
-        numbers = list(map(later.__getitem__, parts[1:]))
-        numbers.insert(0, self.first[parts[0]])
-        if _ODD in numbers:
-            parts = _GAP.split(text)
-            numbers = [self._number(parts[0])] + [self._number(" " + p) for p in parts[1:]]
-        return numbers
-
-    def _pre_token(self, text: str) -> list[int]:
-        ids = self.pre_tokens.get(text)
-        if ids is None:
-            spelt = text.encode().decode("latin-1").translate(self.letters)
-            ids = self.pre_tokens[text] = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+    def _pre_token(self, text: str) -> tuple[int, ...]:
+        spelt = text.replace(" ", self.letters[0x20]) if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        ids = self.pre_tokens[text] = tuple([t.id for t in self.tokenizer.model.tokenize(spelt.replace("\n", self.letters[0x0A]))])
         return ids
 
     def _learn(self) -> None:
         """Ids of the pieces not met before: plain ones by the library's BPE model alone,
         others by its whole pipeline."""
-        fresh = self.words[self.known:]
-        if not fresh:
+        if not self.fresh:
             return
-        ids, others = [], []
-        for n, word in enumerate(fresh):
-            if plain := _PLAIN.fullmatch(word):
-                letters, points = plain.groups()
-                ids.append(self._pre_token(letters) + self._pre_token(points) if points else self._pre_token(letters))
+        ids, others, seen, plain = [], [], self.pre_tokens, _PLAIN.fullmatch
+        for n, word in enumerate(self.fresh):
+            if found := plain(word):
+                own: list[int] = []
+                for pre in found.groups():
+                    if pre:
+                        own += seen.get(pre) or self._pre_token(pre)
+                ids.append(own)
             else:
-                ids.append([])
+                ids.append(())
                 others.append(n)
-        batch = self.tokenizer.encode_batch_fast([fresh[n] for n in others], add_special_tokens=False)
-        for n, encoded in zip(others, batch, strict=True):
+        fresh = [self.fresh[n] for n in others]
+        for n, encoded in zip(others, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
             ids[n] = encoded.ids
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        end = len(self.words)
+        end = self.known + len(ids)
         if end + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros(max(end, len(self.starts)), np.int64)])
-        at = self.starts[self.known]
+            self.odd = np.concatenate([self.odd, np.zeros(max(end, len(self.odd)), bool)])
+        self.odd[[self.known + n for n, w in zip(others, fresh, strict=True)
+                  if w and (w[-1].isspace() or w[0] == " " and w[1].isspace())]] = True
+        at = int(self.starts[self.known])
         self.starts[self.known + 1:end + 1] = at + np.cumsum(lengths)
         need = int(self.starts[end])
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
-        self.flat[at:need] = np.fromiter(chain.from_iterable(ids), np.uint32, int(need - at))
+        self.flat[at:need] = np.fromiter(chain.from_iterable(ids), np.uint32, need - at)
         self.known = end
+        self.fresh.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts`` in one array, and the number of ids of each text."""
-        if len(self.words) > self.max_pieces:
+        """All ids of ``texts`` in one array, and the number of ids of each text.
+
+        The cache holds no cycles, and searching it for some, again and again
+        as it grows, takes a quarter of the time; so that is off meanwhile.
+        """
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.known > self.max_pieces:
             self._empty()
-        rows = [self._numbers(t) for t in texts]
+        rows, whole, later = [], self.whole, self.later
+        for t in texts:
+            parts = t.split(" ")
+            rows.append([whole[parts[0]], *map(later.__getitem__, parts[1:])])
         self._learn()
         counts = np.fromiter(map(len, rows), np.int64, len(rows))
         numbers = np.fromiter(chain.from_iterable(rows), np.int64, int(counts.sum()))
+        # Texts with a space beside more white space are cut again where it is safe.
+        of = np.repeat(np.arange(len(rows)), counts)
+        for i in np.unique(of[self.odd[numbers]]).tolist():
+            parts = _GAP.split(texts[i])
+            rows[i] = [whole[parts[0]], *(whole[" " + p] for p in parts[1:])]
+            counts[i] = -1
+        if (counts < 0).any():
+            self._learn()
+            counts = np.fromiter(map(len, rows), np.int64, len(rows))
+            numbers = np.fromiter(chain.from_iterable(rows), np.int64, int(counts.sum()))
         lengths = self.starts[numbers + 1] - self.starts[numbers]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
