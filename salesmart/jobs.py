@@ -19,6 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.functions.dates import parse_text_date
 from salesmart.operators import cleanse, correlate, forecast, geo
 from salesmart.operators import series as ts
 from salesmart.session import materialize
@@ -35,12 +36,32 @@ def run_stg(spark: SparkSession, csv_path: str, stg_path: str, sep: str = ";",
     return spark.read.parquet(stg_path)
 
 
+def rejects_path(ods_path: str) -> str:
+    """Where the rows that a load refused are kept (daily loads: with ``_api``, by day)."""
+    return ods_path.rstrip("/") + "_rejects"
+
+
+def rejects(spark: SparkSession, ods_path: str) -> DataFrame:
+    """The lines that the last full load refused; a count of them says how many."""
+    return spark.read.parquet(rejects_path(ods_path))
+
+
 def run_ods(spark: SparkSession, stg_path: str, ods_path: str,
             postal_fill: int | None = cleanse.DEFAULT_POSTAL_CODE) -> DataFrame:
-    """STG -> ODS: typed, projected, postal codes filled, day-partitioned."""
+    """STG -> ODS: typed, projected, postal codes filled, day-partitioned.
+
+    Rebuilds the whole table (days that STG no longer holds go; daily loads
+    are run again after it). Lines that don't fit the contract, or whose dates
+    don't parse, go to the reject table beside it (``rejects_path``).
+    """
     stg = spark.read.parquet(stg_path)
+    bad = F.lit(False)
     if files.CORRUPT in stg.columns:
-        stg = stg.where(F.col(files.CORRUPT).isNull())
+        bad = F.col(files.CORRUPT).isNotNull()
+    for c in ("order_date", "ship_date"):
+        bad = bad | (F.col(c).isNotNull() & parse_text_date(c).isNull())
+    stg.where(bad).write.mode("overwrite").parquet(rejects_path(ods_path))
+    stg = stg.where(~bad)
     files.write_ods(cleanse.stg_to_ods(stg, postal_fill=postal_fill), ods_path)
     return files.read_ods(spark, ods_path)
 
@@ -84,10 +105,14 @@ def run_forecast(spark: SparkSession, ods_path: str, out_path: str, steps: int =
 def run_daily(spark: SparkSession, landing_path: str, ods_path: str,
               as_of: _dt.date | str | None = None, multi_line: bool = True) -> int:
     """Landed API responses -> the day ``as_of`` (default today) replaces
-    that day's partition in the ODS. Re-running the same day is idempotent."""
+    that day's partition in the ODS. Re-running the same day is idempotent.
+    Records that don't parse whole go to ``<ods_path>_rejects_api/api_day=...``."""
     records = files.read_api_json(spark, landing_path, multi_line=multi_line)
-    day = cleanse.daily_increment(records, as_of)
-    files.write_ods(day, ods_path)
+    bad = cleanse.is_bad(files.CORRUPT)
+    on = as_of.isoformat() if isinstance(as_of, _dt.date) else (as_of or _dt.date.today().isoformat())
+    records.where(bad).select(F.to_json(F.struct("*")).alias("record")).write.mode("overwrite").parquet(
+        f"{rejects_path(ods_path)}_api/api_day={on}")
+    files.write_ods(cleanse.daily_increment(records.where(~bad), as_of), ods_path, days_only=True)
     return files.read_ods(spark, ods_path).where(
         F.col("order_date") == F.lit(_dt.date.fromisoformat(as_of) if isinstance(as_of, str)
                                      else (as_of or _dt.date.today()))).count()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.dates import RAW_DATE_FORMAT, parse_text_date, shift_years
@@ -30,9 +30,9 @@ def parse_dates(raw: DataFrame, cols=("order_date", "ship_date"),
 def project_ods(df: DataFrame) -> DataFrame:
     """The 17 ODS columns in contract order, cast to contract types.
 
-    ``try_cast``: a malformed value (a text id where the contract has a
-    number) becomes NULL in that row - visible in the null profile (A13) -
-    instead of failing the whole load under ANSI mode.
+    Ids are text. ``try_cast``: a malformed number becomes NULL instead of
+    failing the whole load under ANSI mode; the jobs send such rows to a
+    reject table.
     """
     types = {f.name: f.dataType for f in ODS_SCHEMA.fields}
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in ODS_COLUMNS])
@@ -82,10 +82,22 @@ def records_to_ods(records: DataFrame) -> DataFrame:
     df = records.select(*cols)
     # ISO dates; malformed text becomes NULL instead of failing the load.
     df = df.withColumn("order_date", parse_text_date("order_date", "yyyy-MM-dd")) \
-           .withColumn("ship_date", parse_text_date("ship_date", "yyyy-MM-dd"))
+           .withColumn("ship_date", parse_text_date("ship_date", "yyyy-MM-dd")) \
+           .withColumn("postal_code", F.col("postal_code").try_cast("double").try_cast("int"))
     return project_ods(df)
 
 
+def is_bad(corrupt: str) -> Column:
+    """Whether a record can't be loaded whole: not JSON, or with a date, postal code or
+    sales value that is there but doesn't parse."""
+    date = lambda c: parse_text_date(f"`{HEADER_NAMES[c]}`", "yyyy-MM-dd")
+    number = lambda c: F.col(f"`{HEADER_NAMES[c]}`").try_cast("double")
+    bad = F.col(corrupt).isNotNull()
+    for c, typed in [(c, date(c)) for c in ("order_date", "ship_date")] + [(c, number(c)) for c in ("postal_code", "sales")]:
+        bad = bad | (F.col(f"`{HEADER_NAMES[c]}`").isNotNull() & typed.isNull())
+    return bad
+
+
 def parse_record_text(text: DataFrame, column: str = "value") -> DataFrame:
     """JSON text per row -> record struct fields (``from_json``)."""
     parsed = text.select(F.from_json(F.col(column), API_RECORD_SCHEMA).alias("r"))
@@ -141,12 +153,6 @@ def shift_dates(df: DataFrame, years: int, cols=("order_date", "ship_date")) ->
     return df
 
 
-def split_by_date(df: DataFrame, cutoff: _dt.date | str, key: str = "order_date"):
-    """(archive, future) split at ``cutoff`` (future = on or after it)."""
-    day = _dt.date.fromisoformat(cutoff) if isinstance(cutoff, str) else cutoff
-    return df.where(F.col(key) < F.lit(day)), df.where(F.col(key) >= F.lit(day))
-
-
 def label_split(df: DataFrame, cutoff: _dt.date | str, key: str = "order_date") -> DataFrame:
     """P21 as one column: 'archive' before ``cutoff``, 'future' from it on."""
     day = _dt.date.fromisoformat(cutoff) if isinstance(cutoff, str) else cutoff

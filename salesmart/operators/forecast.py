@@ -262,14 +262,14 @@ def _grid_group(pdf: pd.DataFrame) -> pd.DataFrame:
         fit = fit_sarima(y, order, seasonal, score_from=int(first["score_from"]))
         out.update(aic=fit["aic"], sigma2=fit["sigma2"], converged=fit["converged"])
     except Exception as exc:  # reported per model, not skipped
-        out["error"] = f"{type(exc).__name__}: {exc}"[:500]
+        out["error"] = f"{type(exc).__name__}: {exc}"
     return pd.DataFrame([out])
 
 
 def sarima_grid(series: DataFrame, grid: list[tuple] | None = None,
                 partitions: int | None = None) -> DataFrame:
     """T8+T9: fit every order of ``grid`` to every series; ``best`` marks the
-    lowest AIC per series.
+    lowest AIC per series among the fits that converged.
 
     The grid is a fixed list (64 orders by default); each series row is
     repeated once per order so that every (series, order) is its own
@@ -289,9 +289,9 @@ def sarima_grid(series: DataFrame, grid: list[tuple] | None = None,
                            F.lit(score_from).alias("score_from")))
     n = partitions or int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fits = tasks.repartition(n, *keys).groupBy(*keys).applyInPandas(_grid_group, GRID_SCHEMA)
-    best = F.min_by(F.struct(*keys[1:]), F.col("aic")).over(Window.partitionBy("series_id"))
+    best = F.min_by(F.struct(*keys[1:]), F.when(F.col("converged"), F.col("aic"))).over(Window.partitionBy("series_id"))
     return (fits.withColumn("_best", best)
-                .withColumn("best", F.struct(*keys[1:]) == F.col("_best"))
+                .withColumn("best", F.col("converged") & F.coalesce(F.struct(*keys[1:]) == F.col("_best"), F.lit(False)))
                 .drop("_best"))
 
 

@@ -4,7 +4,7 @@ The reference pairs codes with states by row position after sorting by
 name, which shifts every later code as soon as one state is missing from
 the data or the list. Here codes are attached by a left join on the state
 name: unmatched states get a NULL code. The lookup is a small literal (or
-derived) table, broadcast behind a checked row bound.
+derived) table, which Spark broadcasts where its size allows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators.joins import broadcast_bounded
 from salesmart.operators.marts import group_sum
 
 # The reference's state list and codes, in its order
@@ -43,7 +42,7 @@ def us_state_lookup(spark: SparkSession) -> DataFrame:
 def sales_by_state(sales: DataFrame, lookup: DataFrame) -> DataFrame:
     """Per-state sales with the state code joined by name, sorted by state."""
     g = group_sum(sales, ["state"])
-    codes = broadcast_bounded(lookup.select("state", "state_code"))
+    codes = lookup.select("state", "state_code")
     return (g.join(codes, "state", "left")
              .select("state", "state_code", "sales")
              .orderBy("state"))

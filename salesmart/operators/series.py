@@ -22,7 +22,9 @@ DEFAULT_SERIES = "all"
 def _series_id(series_cols: list[str] | None) -> Column:
     if not series_cols:
         return F.lit(DEFAULT_SERIES)
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in series_cols])
+    # Separators inside a key are escaped, and NULL keys give a NULL id, so different keys never share one.
+    keys = [F.regexp_replace(F.col(c).cast("string"), r"([|\\])", r"\\$1") for c in series_cols]
+    return F.concat(*[x for k in keys for x in (F.lit("|"), k)][1:])
 
 
 def _by_series(order: str = "idx") -> Window:
@@ -37,14 +39,14 @@ def daily_mean(df: DataFrame, date_col: str = "order_date", value_col: str = "sa
     ``mean``), computed as the exact decimal sum / count. With ``count_col``
     the input is already partially aggregated: ``value_col`` holds exact
     partial sums and ``count_col`` the partial line counts. The calendar runs
-    from each series' first to last day; rows with a NULL date are ignored.
+    from each series' first to last day; rows with a NULL date or a NULL series key are ignored.
 
     Gap days are generated from the aggregated days themselves: each present
     day emits itself and the missing days up to the next present day
     (``lead`` + ``sequence``), so the lines are aggregated once and no
     calendar join is needed.
     """
-    lines = (df.where(F.col(date_col).isNotNull())
+    lines = (df.where(F.col(date_col).isNotNull() & _series_id(series_cols).isNotNull())
                .select(_series_id(series_cols).alias("series_id"),
                        F.col(date_col).cast("date").alias("ds"), F.col(value_col).alias("v"),
                        *([F.col(count_col).alias("n")] if count_col else [])))

@@ -49,17 +49,24 @@ def daily_increment(t: Tables) -> DataFrame:
     return cleanse.increment_from_text(cleanse.to_api_records(sales_view(t)), INCREMENT_DAY)
 
 
+def not_yet_delivered():
+    """Days that only the delivery has."""
+    day = F.col("order_date")
+    return (day > F.lit(INCREMENT_DAY).cast("date")) & (day <= F.lit(REDELIVERY_TO).cast("date"))
+
+
 @query("ods_replace_days", with_sales(f"""
 SELECT {_ODS_LIST} FROM sales a
-WHERE a.order_date <= DATE '{INCREMENT_DAY}'
+WHERE NOT (a.order_date > DATE '{INCREMENT_DAY}' AND a.order_date <= DATE '{REDELIVERY_TO}')
   AND NOT EXISTS (SELECT 1 FROM sales i WHERE i.order_date = a.order_date
                   AND i.order_date BETWEEN DATE '{REDELIVERY_FROM}' AND DATE '{REDELIVERY_TO}')
 UNION ALL
 SELECT {_ODS_LIST} FROM sales WHERE order_date BETWEEN DATE '{REDELIVERY_FROM}' AND DATE '{REDELIVERY_TO}'"""))
 def ods_replace_days(t: Tables) -> DataFrame:
-    """Archive up to a day, re-delivered week replaces its days."""
+    """The whole archive but a week not delivered yet; the delivery brings that week and
+    replaces the days before it."""
     s = sales_view(t)
-    archive = s.where(F.col("order_date") <= F.lit(INCREMENT_DAY).cast("date"))
+    archive = s.where(~not_yet_delivered())
     increment = s.where(F.col("order_date").between(F.lit(REDELIVERY_FROM).cast("date"),
                                                     F.lit(REDELIVERY_TO).cast("date")))
     return cleanse.replace_days(archive, increment)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators import cleanse
-from salesmart.plans.cleansing import INCREMENT_DAY, REDELIVERY_FROM, REDELIVERY_TO
+from salesmart.plans.cleansing import REDELIVERY_FROM, REDELIVERY_TO, not_yet_delivered
 from salesmart.plans.registry import ORACLES, query, with_sales
 from salesmart.schema import ODS_COLUMNS
 from salesmart.session import scratch_path
@@ -48,10 +48,10 @@ def ods_partitioned_load(t: Tables) -> DataFrame:
     week written with dynamic partition overwrite replaces exactly its days."""
     path = scratch_path(t.spark, "ods")
     s = sales_view(t)
-    files.write_ods(s.where(F.col("order_date") <= F.lit(INCREMENT_DAY).cast("date")), path)
+    files.write_ods(s.where(~not_yet_delivered()), path)
     week = s.where(F.col("order_date").between(F.lit(REDELIVERY_FROM).cast("date"),
                                                F.lit(REDELIVERY_TO).cast("date")))
-    files.write_ods(week, path)
+    files.write_ods(week, path, days_only=True)
     return files.read_ods(t.spark, path).select(*ODS_COLUMNS)
 
 
@@ -59,7 +59,8 @@ ORACLES["ods_partitioned_load"] = ORACLES["ods_replace_days"]
 
 
 def _events_stream(t: Tables) -> DataFrame:
-    return ingest.file_stream(t.spark, t.root, t.events.schema, glob="events.parquet")
+    """The table as a stream, whether it is one file or a folder of part files."""
+    return ingest.table_stream(t.spark, t.path("events"), t.events.schema)
 
 
 @query("stream_ingest", f"""
@@ -67,8 +68,9 @@ SELECT * FROM events WHERE ts >= TIMESTAMP '{STREAM_DAY}' AND ts < TIMESTAMP '{S
 def stream_ingest(t: Tables) -> DataFrame:
     """One day's events ingested by an availableNow file stream into parquet."""
     out, ckpt = scratch_path(t.spark, "stream-ingest"), scratch_path(t.spark, "stream-ingest-ckpt")
-    ingest.run_to_parquet(ingest.ingest_day(_events_stream(t), STREAM_DAY), out, ckpt)
-    return t.spark.read.parquet(out)
+    day = ingest.ingest_day(_events_stream(t), STREAM_DAY)
+    ingest.run_to_parquet(day, out, ckpt)
+    return t.spark.read.schema(day.schema).parquet(out)
 
 
 @query("stream_dedupe", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -79,7 +81,7 @@ def stream_dedupe(t: Tables) -> DataFrame:
     out, ckpt = scratch_path(t.spark, "stream-dedupe"), scratch_path(t.spark, "stream-dedupe-ckpt")
     ingest.run_to_parquet(deduped, out, ckpt)
     # Back to the table's own type (lossless under the UTC session zone).
-    return t.spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return t.spark.read.schema(deduped.schema).parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("stream_daily", """
@@ -91,4 +93,4 @@ def stream_daily(t: Tables) -> DataFrame:
     totals = ingest.daily_totals(ingest.with_event_time(_events_stream(t)))
     out, ckpt = scratch_path(t.spark, "stream-daily"), scratch_path(t.spark, "stream-daily-ckpt")
     ingest.run_to_parquet(totals, out, ckpt, output_mode="complete")
-    return t.spark.read.parquet(out)
+    return t.spark.read.schema(totals.schema).parquet(out)

@@ -35,11 +35,11 @@ HEADER_NAMES = {
 }
 
 ODS_SCHEMA = T.StructType([
-    T.StructField("order_id", T.LongType()),
+    T.StructField("order_id", T.StringType()),
     T.StructField("order_date", T.DateType()),
     T.StructField("ship_date", T.DateType()),
     T.StructField("ship_mode", T.StringType()),
-    T.StructField("customer_id", T.LongType()),
+    T.StructField("customer_id", T.StringType()),
     T.StructField("customer_name", T.StringType()),
     T.StructField("segment", T.StringType()),
     T.StructField("country", T.StringType()),
@@ -47,7 +47,7 @@ ODS_SCHEMA = T.StructType([
     T.StructField("state", T.StringType()),
     T.StructField("postal_code", T.IntegerType()),
     T.StructField("region", T.StringType()),
-    T.StructField("product_id", T.LongType()),
+    T.StructField("product_id", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("sub_category", T.StringType()),
     T.StructField("product_name", T.StringType()),
@@ -62,12 +62,8 @@ RAW_SCHEMA = T.StructType(
 )
 
 # Schema of one record of the daily API feed (JSON), keyed by the headers.
-# Dates arrive as ISO text; ids as text or numbers, so they are read as text.
-API_RECORD_SCHEMA = T.StructType([
-    T.StructField(HEADER_NAMES[f.name],
-                  T.StringType() if f.dataType in (T.DateType(), T.LongType()) else f.dataType)
-    for f in ODS_SCHEMA.fields
-])
+# Any field may arrive as text or as a number, so all are read as text and typed later.
+API_RECORD_SCHEMA = T.StructType([T.StructField(HEADER_NAMES[f.name], T.StringType()) for f in ODS_SCHEMA.fields])
 
 
 def with_headers(schema: T.StructType) -> T.StructType:

@@ -71,21 +71,24 @@ def write_api_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_ods(df: DataFrame, path: str, mode: str = "overwrite",
-              partition_col: str = "order_date", cluster_by: str = "order_id") -> None:
+              partition_col: str = "order_date", cluster_by: str = "order_id",
+              days_only: bool = False) -> None:
     """K1/K2 for files: ODS as parquet partitioned by order day.
 
-    With ``mode='overwrite'`` and dynamic partition overwrite only the days
-    present in ``df`` are replaced - the whole-day replacement of U1 done by
-    the file system: re-loading a delivery is idempotent and an increment
-    never rewrites the archive. Rows are range-partitioned on (day,
+    ``mode='overwrite'`` replaces the whole table. With ``days_only`` it
+    replaces only the days present in ``df`` - the whole-day replacement of
+    U1 done by the file system: re-loading a delivery is idempotent and an
+    increment never rewrites the archive; rows without a date are refused
+    then, since they would replace the archive's own. Rows are range-partitioned on (day,
     ``cluster_by``) first: each task writes few files, and a day holding a
     third of all rows is split over many tasks instead of landing in one.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if days_only:
+        df = df.where(F.col(partition_col).isNotNull())
     (df.repartitionByRange(partition_col, cluster_by)
        .sortWithinPartitions(partition_col, cluster_by)   # tight row-group min/max
-       .write.mode(mode).partitionBy(partition_col).parquet(path))
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic" if days_only else "static")
+       .partitionBy(partition_col).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:

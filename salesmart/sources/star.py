@@ -22,18 +22,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.operators.joins import MAX_BROADCAST_ROWS, bounded_rows
 from salesmart.schema import ODS_COLUMNS
 from salesmart.sources.tables import Tables
 
 # Column of the sales view -> (dimensions it needs, expression).
 # The fixture mapping of the sales contract.
 _EXPR: dict[str, tuple[frozenset, Callable[[], Column]]] = {
-    "order_id": (frozenset(), lambda: F.col("l_orderkey").alias("order_id")),
+    "order_id": (frozenset(), lambda: F.col("l_orderkey").cast("string").alias("order_id")),
     "order_date": (frozenset({"orders"}), lambda: F.col("o_orderdate").cast("date").alias("order_date")),
     "ship_date": (frozenset(), lambda: F.col("l_shipdate").cast("date").alias("ship_date")),
     "ship_mode": (frozenset({"orders"}), lambda: F.col("o_orderpriority").alias("ship_mode")),
-    "customer_id": (frozenset({"orders", "customer"}), lambda: F.col("c_custkey").alias("customer_id")),
+    "customer_id": (frozenset({"orders", "customer"}), lambda: F.col("c_custkey").cast("string").alias("customer_id")),
     "customer_name": (frozenset({"orders", "customer"}), lambda: F.col("c_name").alias("customer_name")),
     "segment": (frozenset({"orders", "customer"}), lambda: F.col("c_mktsegment").alias("segment")),
     "country": (frozenset(), lambda: F.lit("N/A").alias("country")),
@@ -43,7 +42,7 @@ _EXPR: dict[str, tuple[frozenset, Callable[[], Column]]] = {
                     .otherwise(F.lit(10000) + F.col("c_custkey") % 900)
                     .cast("int").alias("postal_code")),
     "region": (frozenset({"orders", "customer", "nation", "region"}), lambda: F.col("r_name").alias("region")),
-    "product_id": (frozenset(), lambda: F.col("l_partkey").alias("product_id")),
+    "product_id": (frozenset(), lambda: F.col("l_partkey").cast("string").alias("product_id")),
     "category": (frozenset({"part"}), lambda: F.col("p_type").alias("category")),
     "sub_category": (frozenset({"part"}), lambda: F.col("p_brand").alias("sub_category")),
     "product_name": (frozenset({"part"}), lambda: F.col("p_name").alias("product_name")),
@@ -85,23 +84,18 @@ def _order_dimension(tables: Tables, need: set) -> DataFrame:
         od = od.join(tables.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     if "region" in need:
         od = od.join(tables.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    # The joined frame has no file size for the planner to go by. Every join
-    # above is on a dimension's primary key, so it has at most as many rows as
-    # orders: when a bounded count of orders is under the broadcast bound,
-    # broadcast it (one pass over the lines, no shuffle); otherwise the lines
-    # and the order dimension meet in a sort-merge join.
-    if bounded_rows(tables.orders, MAX_BROADCAST_ROWS):
-        od = F.broadcast(od)
+    # No hint and no count: file statistics and AQE choose the join from sizes
+    # they have, and no job runs while the plan is built.
     return od
 
 
 # SQL text of the same view, for the DuckDB oracle (tables registered as views).
 SALES_SQL = """
-SELECT o.o_orderkey AS order_id,
+SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id,
        CAST(o.o_orderdate AS DATE) AS order_date,
        CAST(l.l_shipdate AS DATE) AS ship_date,
        o.o_orderpriority AS ship_mode,
-       c.c_custkey AS customer_id,
+       CAST(c.c_custkey AS VARCHAR) AS customer_id,
        c.c_name AS customer_name,
        c.c_mktsegment AS segment,
        'N/A' AS country,
@@ -109,7 +103,7 @@ SELECT o.o_orderkey AS order_id,
        n.n_name AS state,
        CAST(CASE WHEN c.c_custkey % 50 = 0 THEN NULL ELSE 10000 + c.c_custkey % 900 END AS INTEGER) AS postal_code,
        r.r_name AS region,
-       p.p_partkey AS product_id,
+       CAST(p.p_partkey AS VARCHAR) AS product_id,
        p.p_type AS category,
        p.p_brand AS sub_category,
        p.p_name AS product_name,

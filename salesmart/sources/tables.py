@@ -29,7 +29,3 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return self[name]
-
-
-def load_tables(spark: SparkSession, root: str) -> Tables:
-    return Tables(spark, root)

@@ -33,6 +33,15 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A streaming read of a parquet table that is one file or a folder of part files.
+
+    A stream's path must be a folder unless it is a pattern; as a pattern that
+    only matches itself, ``path`` may be either.
+    """
+    return file_stream(spark, f"{path[:-1]}[{path[-1]}]", schema)
+
+
 def with_event_time(df: DataFrame, column: str = "ts") -> DataFrame:
     """Cast a ``timestamp_ntz`` event-time column to ``timestamp`` (session zone)."""
     return df.withColumn(column, F.col(column).cast("timestamp"))
@@ -88,3 +97,6 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if output_mode != "append":  # a stream without any input writes no batch: its result is an empty table
+        spark = stream.sparkSession
+        spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(path)

@@ -13,10 +13,10 @@ from salesmart.sources import files
 
 
 def _ods_row(**kw):
-    base = dict(order_id=1, order_date=dt.date(2020, 1, 1), ship_date=dt.date(2020, 1, 3),
-                ship_mode="Standard Class", customer_id=7, customer_name="Ann", segment="Consumer",
+    base = dict(order_id="1", order_date=dt.date(2020, 1, 1), ship_date=dt.date(2020, 1, 3),
+                ship_mode="Standard Class", customer_id="7", customer_name="Ann", segment="Consumer",
                 country="United States", city="Burlington", state="Vermont", postal_code=None,
-                region="East", product_id=9, category="Technology", sub_category="Phones",
+                region="East", product_id="9", category="Technology", sub_category="Phones",
                 product_name="Phone", sales=10.5)
     base.update(kw)
     return tuple(base[c] for c in ODS_COLUMNS)
@@ -58,16 +58,16 @@ def test_daily_increment_handles_apostrophes_and_empty_days(spark):
 
 
 def test_replace_days_is_idempotent(spark):
-    archive = spark.createDataFrame([_ods_row(order_id=i, order_date=dt.date(2020, 1, 1 + i % 3))
+    archive = spark.createDataFrame([_ods_row(order_id=str(i), order_date=dt.date(2020, 1, 1 + i % 3))
                                      for i in range(9)], ODS_SCHEMA)
     # A day re-delivered with a corrected line, plus two identical legitimate lines.
-    inc = spark.createDataFrame([_ods_row(order_id=100, order_date=dt.date(2020, 1, 2)),
-                                 _ods_row(order_id=101, order_date=dt.date(2020, 1, 4)),
-                                 _ods_row(order_id=101, order_date=dt.date(2020, 1, 4))], ODS_SCHEMA)
+    inc = spark.createDataFrame([_ods_row(order_id="100", order_date=dt.date(2020, 1, 2)),
+                                 _ods_row(order_id="101", order_date=dt.date(2020, 1, 4)),
+                                 _ods_row(order_id="101", order_date=dt.date(2020, 1, 4))], ODS_SCHEMA)
     once = cleanse.replace_days(archive, inc)
     twice = cleanse.replace_days(once, inc)
-    ids = sorted(r.order_id for r in once.collect())
-    assert ids == sorted(r.order_id for r in twice.collect())
+    ids = sorted(int(r.order_id) for r in once.collect())
+    assert ids == sorted(int(r.order_id) for r in twice.collect())
     assert ids == [0, 2, 3, 5, 6, 8, 100, 101, 101]
 
 
@@ -118,5 +118,5 @@ def test_api_json_array_file(spark):
     assert recs.count() == 3
     assert cleanse.records_to_ods(recs).where(F.col("order_date").isNull()).count() == 1
     day = cleanse.daily_increment(recs, "2023-06-01").collect()
-    assert len(day) == 1 and day[0].customer_name == "D'Arcy" and day[0].customer_id == 77
-    assert day[0].order_id is None  # a text id that is not a number stays visible as NULL
+    assert len(day) == 1 and day[0].customer_name == "D'Arcy" and day[0].customer_id == "77"
+    assert day[0].order_id == "CA-1" and day[0].sales == 99.99 and day[0].postal_code == 5401

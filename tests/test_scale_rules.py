@@ -4,7 +4,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from salesmart.operators import marts, quality
-from salesmart.operators.joins import broadcast_bounded
+from salesmart.sources.star import sales_view
+from salesmart.sources.tables import Tables
 
 
 def _skewed(spark, n=3000):
@@ -28,16 +29,26 @@ def test_partial_aggregation_precedes_the_shuffle(spark):
     assert any("partial_sum" in ln for ln in lines[ex:])   # map-side combine below the exchange
 
 
-def test_broadcast_only_under_the_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    probe = spark.range(100).withColumnRenamed("id", "k")
-    plan_small = probe.join(broadcast_bounded(small, 50), probe.k == small.id) \
-        ._jdf.queryExecution().logical().toString()
-    plan_big = probe.join(broadcast_bounded(big, 50), probe.k == big.id) \
-        ._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_big.lower()
+def test_building_a_view_runs_no_job_and_has_no_hint(spark, data_dir):
+    tables = Tables(spark, data_dir)
+    sales_view(tables)  # opens the tables (reads their footers)
+    spark.sparkContext.setJobGroup("build", "build")
+    view = sales_view(tables)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "Hint" not in view._jdf.queryExecution().logical().toString()
+
+
+def test_sales_view_without_broadcasts(spark, data_dir):
+    want = sorted(sales_view(Tables(spark, data_dir)).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = sales_view(Tables(spark, data_dir))
+        assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(df.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_exact_quantile_with_a_third_of_rows_equal(spark):

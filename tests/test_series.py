@@ -98,3 +98,11 @@ def test_baselines_and_rmse(spark):
     ma = ts.rmse(ts.moving_average(df, 7)).collect()[0]
     want = [np.mean(y[i - 7:i]) for i in range(7, 60)]
     assert ma.rmse == pytest.approx(np.sqrt(np.mean((y[7:] - np.array(want)) ** 2)))
+
+
+def test_series_keys_never_collide(spark):
+    day = dt.date(2020, 1, 1)
+    rows = [("B", "C|D", 1.0), ("B|C", "D", 9.0), ("A", None, 5.0), (None, "A", 5.0), ("a\\", "b", 2.0), ("a", "\\b", 4.0)]
+    df = spark.createDataFrame([(a, b, day, v) for a, b, v in rows], "a string, b string, order_date date, sales double")
+    got = {r.series_id: r.y for r in ts.daily_mean(df, series_cols=["a", "b"]).collect()}
+    assert sorted(got.values()) == [1.0, 2.0, 4.0, 9.0]

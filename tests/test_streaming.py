@@ -10,7 +10,7 @@ from salesmart.streaming import ingest
 
 def _stream(spark, data_dir):
     schema = spark.read.parquet(f"{data_dir}/events.parquet").schema
-    return ingest.file_stream(spark, data_dir, schema, glob="events.parquet")
+    return ingest.table_stream(spark, f"{data_dir}/events.parquet", schema)
 
 
 def test_ingest_day_exactly_once(spark, data_dir):
@@ -54,3 +54,16 @@ def test_daily_windows_append_emits_closed_days_only(spark, data_dir):
     # A day is final once its window end is behind the watermark; later days stay open.
     closed = {d for d in days if dt.datetime.combine(d, dt.time()) + dt.timedelta(days=1) <= watermark}
     assert got == closed and len(closed) < len(days)
+
+
+def test_table_as_a_folder_of_part_files_and_an_empty_day(spark, data_dir):
+    root = scratch_path(spark, "t-dir")
+    events = spark.read.parquet(f"{data_dir}/events.parquet")
+    events.repartition(3).write.parquet(f"{root}/events.parquet")
+    from salesmart.plans import QUERIES
+    for name in ("stream_ingest", "stream_dedupe", "stream_daily"):
+        assert QUERIES[name](spark, root).exceptAll(QUERIES[name](spark, data_dir)).count() == 0, name
+    out, ckpt = scratch_path(spark, "t-empty"), scratch_path(spark, "t-empty-ckpt")
+    day = ingest.ingest_day(_stream(spark, data_dir), "1999-01-01")
+    ingest.run_to_parquet(day, out, ckpt)
+    assert spark.read.schema(day.schema).parquet(out).count() == 0
