@@ -196,7 +196,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marked = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id"))
                        & (F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))) == F.col("kept_digest")))
     once = marked.where("kept_rows = 1").select(*[F.col(c) for c in docs.columns])
-    again = marked.where("kept_rows > 1").dropDuplicates(["kept_id", "kept_digest"]).select(*[F.col(c) for c in docs.columns])
+    # Of rows equal in id and text the first by all columns stays, so reruns agree; a map-side combined minimum finds it.
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    again = marked.where("kept_rows > 1").groupBy("kept_id", "kept_digest").agg(F.min_by(row, F.to_json(row)).alias("row")).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns])
     return once.unionByName(again)
 
 

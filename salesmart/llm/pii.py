@@ -143,6 +143,8 @@ def estimate(counts: dict[tuple[str, str], int], rounds: int = 200) -> dict[tupl
     each kind has its own prior. Starts from the majority vote; add-one smoothed.
     """
     keys = sorted(counts)
+    if not keys:
+        return {}
     n = np.array([counts[k] for k in keys], float)
     kinds = np.array([KINDS.index(k) for k, _ in keys])
     seen = np.array([["10-".index(c) for c in v] for _, v in keys]).reshape(len(keys), len(LABELERS))

@@ -201,7 +201,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                                                       pa.int64(), pa.binary()), strict=True)],
                 names=["part", "shard", "start_in_part", "n_tokens", "n_documents", "blob"])
 
-        for rows in slices(batches, "text"):
+        for rows in slices(batches, "text", max_rows=max(1, min(512, shard_tokens // 64))):
             ids, edges = with_end(*enc.encode(rows.column("text").to_pylist()), end_id)
             ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
             names = rows.column("doc_id").to_pylist()
