@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import groups, written
 
 K, REVERSE, TREES, LEAF, ROUNDS, SETTLED = 20, 20, 4, 64, 8, 0.02
-BEAM, EXPAND, ENTRIES, RESCORED = 96, 16, 64, 48
+BEAM, EXPAND, ENTRIES, RESCORED = 400, 50, 64, 64
 SEND = 8
 _NEAR = "node long, ids array<long>, sims array<float>, own boolean"
 
