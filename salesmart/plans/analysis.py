@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from salesmart.operators.correlate import one_hot_corr
+from salesmart.operators.correlate import corr_matrix, one_hot
 from salesmart.plans.registry import query, with_sales
-from salesmart.sources.star import sales_view
+from salesmart.sources.star import sales_view, star_sum
 from salesmart.sources.tables import Tables
 
 
@@ -32,7 +33,10 @@ GROUP BY fx.feature, fy.feature, a.pos, b.pos""")
 
 def _register(dim: str) -> None:
     def build(t: Tables) -> DataFrame:
-        return one_hot_corr(sales_view(t, [dim, "sales"]), dim, "sales")
+        # The moments are summed per part or order key below the joins: one scan of the lines.
+        groups = star_sum(t, [dim], counts=True, squares=True).groupBy(F.col(dim).alias("v")).agg(
+            F.sum("lines").alias("n_v"), F.sum("n").alias("m_v"), F.sum("sales").alias("s_v"), F.sum("sales_sq").alias("q_v"))
+        return corr_matrix(groups, dim, "sales")
 
     build.__doc__ = f"C1-C3: one-hot correlation of sales with {dim}"
     query(f"corr_{dim}", _corr_sql(dim))(build)
@@ -40,3 +44,14 @@ def _register(dim: str) -> None:
 
 for _dim in ("segment", "category", "ship_mode"):
     _register(_dim)
+
+
+# The segments of the fixture's customers.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("one_hot_segment", with_sales("SELECT order_id, sales, " + ", ".join(
+    f"CAST(coalesce(segment = '{v}', false) AS INTEGER) AS segment_{v}" for v in SEGMENTS) + " FROM sales"))
+def one_hot_segment(t: Tables) -> DataFrame:
+    """Every line with its segment as indicator columns."""
+    return one_hot(sales_view(t, ["order_id", "sales", "segment"]), "segment", SEGMENTS)

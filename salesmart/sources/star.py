@@ -124,11 +124,13 @@ _CUSTOMER_KEYS = {"customer_id", "customer_name", "segment", "city", "state", "p
 _PART_KEYS = {"category", "sub_category", "product_name"}
 
 
-def star_sum(tables: Tables, keys: list[str], counts: bool = False) -> DataFrame:
+def star_sum(tables: Tables, keys: list[str], counts: bool = False, squares: bool = False) -> DataFrame:
     """``keys`` + ``sales`` (exact decimal partial sums) with the aggregation
     pushed below the dimension joins - eager aggregation by foreign key.
     With ``counts`` an ``n`` column carries the partial count of non-null
     sales, so means can be finished exactly (sum of sums / sum of counts).
+    With ``squares`` the columns ``lines`` (row count) and ``sales_sq`` (exact
+    sum of squares) follow, from which variances and correlations are finished.
 
     * part attributes only: lines -> sum per part key -> join part;
     * order / customer attributes only: lines -> sum per order -> join
@@ -150,9 +152,12 @@ def star_sum(tables: Tables, keys: list[str], counts: bool = False) -> DataFrame
     if unknown:
         raise ValueError(f"not sales columns: {sorted(unknown)}")
     price = F.col("l_extendedprice").cast("decimal(18,4)")
-    partial = [F.sum(price).alias("sales")] + ([F.count(price).alias("n")] if counts else [])
-    regroup = [F.sum("sales").alias("sales")] + ([F.sum("n").alias("n")] if counts else [])
-    out = ["sales"] + (["n"] if counts else [])
+    measures = {"sales": F.sum(price)} | ({"n": F.count(price)} if counts else {})
+    if squares:
+        measures |= {"lines": F.count(F.lit(1)), "sales_sq": F.sum(price * price)}
+    partial = [m.alias(c) for c, m in measures.items()]
+    regroup = [F.sum(c).alias(c) for c in measures]
+    out = list(measures)
     li = tables.lineitem
     if k <= _PART_KEYS | {"product_id"}:
         by_part = li.groupBy("l_partkey").agg(*partial)
@@ -182,6 +187,6 @@ def star_sum(tables: Tables, keys: list[str], counts: bool = False) -> DataFrame
         by_part = lines.groupBy(*order_keys, "l_partkey").agg(*partial)
         by_part = by_part.join(tables.part, F.col("l_partkey") == F.col("p_partkey"))
         return by_part.select(*[F.col(c) if c in order_keys else _EXPR[c][1]() for c in keys], *out)
-    lines = sales_view(tables, list(keys) + ["sales"]).withColumn(
-        "sales", F.col("sales").cast("decimal(18,4)"))
-    return lines.withColumn("n", F.col("sales").isNotNull().cast("bigint")) if counts else lines
+    sales = F.col("sales").cast("decimal(18,4)")
+    at_line = {"sales": sales, "n": sales.isNotNull().cast("bigint"), "lines": F.lit(1).cast("bigint"), "sales_sq": sales * sales}
+    return sales_view(tables, list(keys) + ["sales"]).select(*keys, *[at_line[c].alias(c) for c in out])

@@ -4,7 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from salesmart.operators.correlate import one_hot_corr
+from salesmart.operators.correlate import one_hot, one_hot_corr
+from salesmart.plans import QUERIES
 
 
 def _pandas_matrix(pdf):
@@ -43,3 +44,24 @@ def test_zero_variance_is_null(spark):
     got = {(r.feature_x, r.feature_y): r.r for r in one_hot_corr(df, "seg", "sales").collect()}
     assert got[("seg_a", "seg_a")] is None and got[("sales", "seg_a")] is None
     assert got[("sales", "sales")] == 1.0
+
+
+def test_lines_are_scanned_once(spark, data_dir):
+    for name in ("corr_segment", "corr_category", "corr_ship_mode"):
+        plan = QUERIES[name](spark, data_dir)._jdf.queryExecution().executedPlan().toString()
+        scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "l_extendedprice" in ln]
+        assert len(scans) == 1, name
+
+
+def test_too_many_values_is_an_error(spark):
+    df = spark.createDataFrame([(str(i), 1.0) for i in range(9)], "seg string, sales double")
+    with pytest.raises(Exception, match="more than 5 values"):
+        one_hot_corr(df, "seg", "sales", max_values=5).collect()
+
+
+def test_one_hot_frame(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", 3.0)], "seg string, sales double")
+    got = {tuple(r) for r in one_hot(df, "seg", ["a", "b"]).collect()}
+    assert got == {(1.0, 1, 0), (2.0, 0, 0), (3.0, 0, 1)}
+    with pytest.raises(Exception, match="not listed"):
+        one_hot(df, "seg", ["a"]).collect()
