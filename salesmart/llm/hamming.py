@@ -11,7 +11,8 @@ every distance, so no query is left over.
 Equal codes are one entry with a count; only the k + 1 smallest ids of a code can
 be wanted. A pair is kept at the first step that finds it (its closest, then
 first, segment), which a bit count tells, so nothing is de-duplicated by a
-shuffle. All in DataFrame functions; each step is a table and only counts reach the driver.
+shuffle. Open queries carry how many rows they have at each distance, so a step reads
+its own finds alone. All in DataFrame functions; each step is a table and only counts reach the driver.
 
 Null vectors and ids take no part; a null component counts as not positive.
 Ties go to the smaller id; rows with the query's id are its own. With at most k
@@ -77,11 +78,13 @@ def nearest(codes: DataFrame, asked: Column, k: int = K) -> DataFrame:
 
     entries = written(distinct.select("code", "copies", F.posexplode(F.array(*[
         F.expr(_segment("code", *cut)) for cut in cuts])).alias("j", "value")), "codes-segments")
-    pending = written(rows.where("asked").select(F.col("code").alias("query")).distinct(), "codes-pending")
+    # Per open query: how many rows were found at each distance so far.
+    none = F.array_repeat(F.lit(0).cast("long"), 65)
+    pending = written(rows.where("asked").select(F.col("code").alias("query")).distinct().withColumn("seen", none), "codes-pending")
     found = None
     apart = [f"bit_count({_segment('query ^ code', *cut)})" for cut in cuts]
     for s, segments, covered in _steps(cuts):
-        if not pending.limit(1).count():
+        if pending.isEmpty():
             break
         probes = [_probes(j, cuts[j], s) for j in segments if cuts[j][1] >= s]
         if probes:
@@ -94,11 +97,13 @@ def nearest(codes: DataFrame, asked: Column, k: int = K) -> DataFrame:
                 "query", "code", "copies", F.expr("bit_count(query ^ code)").cast("int").alias("distance"))
             hits = written(hits, "codes-found")
             found = hits if found is None else found.unionByName(hits)
-        near = found.join(pending, "query", "left_semi").groupBy("query").agg(
-            F.sum(F.when(F.col("distance") <= covered, F.col("copies"))).alias("sure"), F.sum("copies").alias("all"))
+            near = hits.groupBy("query").agg(F.array(*[
+                F.sum(F.when(F.col("distance") == d, F.col("copies")).otherwise(0)) for d in range(65)]).alias("new"))
+            seen = F.when(F.col("new").isNull(), F.col("seen")).otherwise(F.zip_with("seen", "new", lambda a, b: a + b))
+            pending = pending.join(near, "query", "left").select("query", seen.alias("seen"))
+        total = lambda upto: F.aggregate(F.slice("seen", 1, upto), F.lit(0).cast("long"), lambda a, x: a + x)
         # The query's own row is among them; all rows found is enough too.
-        done = near.where((F.col("sure") > k) | (F.col("all") >= n)).select("query")
-        pending = written(pending.join(done, "query", "left_anti"), "codes-pending")
+        pending = written(pending.where((total(covered + 1) <= k) & (total(65) < n)), "codes-pending")
     if found is None:
         found = distinct.select(F.col("code").alias("query"), "code", "copies", F.lit(0).alias("distance")).limit(0)
 
