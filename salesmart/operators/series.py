@@ -192,6 +192,23 @@ def acf(series: DataFrame, column: str = "resid", nlags: int = 10) -> DataFrame:
                        (F.col("num") / F.col("den")).alias("acf"))
 
 
+def spread(series: DataFrame, column: str = "resid") -> DataFrame:
+    """Count, mean and sample standard deviation of ``column`` per series."""
+    return series.groupBy("series_id").agg(
+        F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"))
+
+
+def histogram(series: DataFrame, column: str = "resid", bins: int = 10) -> DataFrame:
+    """Rows per equal-width bin between a series' least and greatest value (bins
+    without rows are left out; a constant series is one bin)."""
+    x = series.where(F.col(column).isNotNull()).select("series_id", F.col(column).alias("x"))
+    ends = x.groupBy("series_id").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    width = (F.col("high") - F.col("low")) / bins
+    bin_ = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("low")) / width), F.lit(bins - 1).cast("bigint")))
+    return x.join(ends, "series_id").groupBy("series_id", F.coalesce(bin_, F.lit(0).cast("bigint")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def dickey_fuller_lag0(series: DataFrame) -> DataFrame:
     """T5 with no augmentation lags: OLS of dy_t on (1, y_(t-1)).
 

@@ -125,6 +125,28 @@ def residual_acf(t: Tables) -> DataFrame:
     return ts.acf(res, "resid", _ACF_LAGS).withColumn("acf", round4("acf"))
 
 
+_RESID_SQL = _SERIES_SQL + """
+, r AS (SELECT series_id, y - lag(y, 7) OVER (ORDER BY idx) AS x FROM di)"""
+
+
+@query("residual_spread", with_sales(_RESID_SQL + f"""
+SELECT series_id, COUNT(x) AS n, {_r4('AVG(x)')} AS mean, {_r4('stddev_samp(x)')} AS std FROM r GROUP BY series_id"""))
+def residual_spread(t: Tables) -> DataFrame:
+    """Mean and standard deviation of the seasonal-naive residuals."""
+    res = ts.seasonal_naive(_series(t), 7).withColumn("resid", F.col("y") - F.col("yhat"))
+    return ts.spread(res).select("series_id", "n", round4("mean").alias("mean"), round4("std").alias("std"))
+
+
+@query("residual_histogram", with_sales(_RESID_SQL + """
+, e AS (SELECT min(x) AS low, (max(x) - min(x)) / 10 AS width FROM r)
+SELECT series_id, CAST(least(floor((x - low) / width), 9) AS BIGINT) AS bin, COUNT(*) AS n
+FROM r, e WHERE x IS NOT NULL GROUP BY 1, 2"""))
+def residual_histogram(t: Tables) -> DataFrame:
+    """Ten-bin histogram of the seasonal-naive residuals."""
+    res = ts.seasonal_naive(_series(t), 7).withColumn("resid", F.col("y") - F.col("yhat"))
+    return ts.histogram(res)
+
+
 @query("dickey_fuller_lag0", with_sales(_SERIES_SQL + f"""
 , d AS (SELECT series_id, y - lag(y) OVER (ORDER BY idx) AS dy, lag(y) OVER (ORDER BY idx) AS ylag FROM di)
 , g AS (SELECT series_id, regr_count(dy, ylag) AS nobs, regr_sxx(dy, ylag) AS sxx, regr_sxy(dy, ylag) AS sxy,
