@@ -59,6 +59,35 @@ def group_sum(sales: DataFrame, keys: list[str], measure: str = "sales") -> Data
         F.coalesce(_exact_sum(src, measure), F.lit(0.0)).alias(measure))
 
 
+def grouped_sums(sales: DataFrame, key_sets: list[list[str]], measure: str = "sales") -> DataFrame:
+    """Sums for several marts from one scan (GROUPING SETS, combined map-side).
+
+    One row per key set and key: ``key_set`` (its name, see ``of_keys``), the
+    keys (NULL where the set has them not), the exact sum, ``n`` (rows with a
+    measure), ``lines`` (rows) and ``sales_sq`` (exact sum of squares).
+    """
+    keys = list(dict.fromkeys(c for s in key_sets for c in s))
+    y = money(F.col(measure).cast("double"))
+    name = F.lit(None).cast("string")
+    for s in key_sets:
+        # grouping_id: a bit per key, the first key highest, set where the key is summed over.
+        absent = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in s)
+        name = F.when(F.grouping_id() == absent, _set_name(s)).otherwise(name)
+    return sales.groupingSets(key_sets, *keys).agg(
+        name.alias("key_set"), F.sum(y).alias(measure), F.count(measure).alias("n"),
+        F.count(F.lit(1)).alias("lines"), F.sum(y * y).alias("sales_sq"))
+
+
+def _set_name(keys: list[str]) -> str:
+    return "-".join(keys)
+
+
+def of_keys(grouped: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of one key set of ``grouped_sums``: a mart's input like the lines themselves."""
+    return grouped.where(F.col("key_set") == _set_name(keys)).drop("key_set", *[
+        c for c in grouped.columns if c not in (*keys, "sales", "n", "lines", "sales_sq")])
+
+
 def _post(df: DataFrame, post: str, measure: str) -> DataFrame:
     if post == "round2":
         return df.withColumn(measure, round_even(measure, 2))
@@ -112,12 +141,12 @@ def mart_totals(sales: DataFrame, key: str = "category") -> DataFrame:
 def share_of_total(sales: DataFrame, key: str = "category") -> DataFrame:
     """Each key's sales and share of the total.
 
-    The total is a window over the aggregated rows (one per key), so the
-    single-partition window only ever sees #keys rows.
+    The total is a one-row subquery over the aggregated keys: any number of
+    keys stays spread over tasks. The share is NULL where the total is 0.
     """
     g = group_sum(sales, [key])
-    total = F.sum(money("sales")).over(Window.partitionBy())
-    return (g.withColumn("share", round4(F.col("sales") / total.cast("double")))
+    total = g.select(F.sum(money("sales")).cast("double")).scalar()
+    return (g.withColumn("share", round4(F.try_divide("sales", total)))
              .withColumn("label", F.concat(F.lit("$"), F.rint("sales").cast("bigint").cast("string"))))
 
 

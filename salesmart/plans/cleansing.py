@@ -9,6 +9,7 @@ from salesmart.functions.numeric import money_sum, round4
 from salesmart.operators import cleanse, quality
 from salesmart.plans.registry import query, with_sales
 from salesmart.schema import ODS_COLUMNS, ODS_SCHEMA
+from salesmart.session import scratch_path
 from salesmart.sources.star import sales_view
 from salesmart.sources.tables import Tables
 
@@ -69,7 +70,11 @@ def ods_replace_days(t: Tables) -> DataFrame:
     archive = s.where(~not_yet_delivered())
     increment = s.where(F.col("order_date").between(F.lit(REDELIVERY_FROM).cast("date"),
                                                     F.lit(REDELIVERY_TO).cast("date")))
-    return cleanse.replace_days(archive, increment)
+    # The delivery lands as a table, as it would in a load: its days come from it, not from the lines again,
+    # and its size is known, so the archive isn't shuffled by day to meet a few days.
+    landed = scratch_path(t.spark, "delivery")
+    increment.write.parquet(landed)
+    return cleanse.replace_days(archive, t.spark.read.schema(increment.schema).parquet(landed))
 
 
 @query("date_shift", with_sales(f"""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.operators import cleanse
-from salesmart.plans.cleansing import REDELIVERY_FROM, REDELIVERY_TO, not_yet_delivered
+from salesmart.plans.cleansing import INCREMENT_DAY, REDELIVERY_FROM, REDELIVERY_TO, not_yet_delivered
 from salesmart.plans.registry import ORACLES, query, with_sales
 from salesmart.schema import ODS_COLUMNS
 from salesmart.session import scratch_path
@@ -73,6 +73,17 @@ def stream_ingest(t: Tables) -> DataFrame:
     return t.spark.read.schema(day.schema).parquet(out)
 
 
+@query("stream_sales_ods", with_sales(f"SELECT {_ODS_LIST} FROM sales WHERE order_date = DATE '{INCREMENT_DAY}'"))
+def stream_sales_ods(t: Tables) -> DataFrame:
+    """X1 + P8/P9: the sales feed (JSON files of all lines) through a stream into day folders of typed ODS rows."""
+    feed = scratch_path(t.spark, "sales-feed")
+    files.write_api_json(sales_view(t), feed)
+    out, ckpt = scratch_path(t.spark, "stream-sales"), scratch_path(t.spark, "stream-sales-ckpt")
+    day = ingest.sales_day(ingest.sales_records(t.spark, feed), INCREMENT_DAY)
+    ingest.run_to_parquet(day, out, ckpt, partition_by=["order_date"])
+    return t.spark.read.schema(day.schema).parquet(out).select(*ODS_COLUMNS)
+
+
 @query("stream_dedupe", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_dedupe(t: Tables) -> DataFrame:
     """Every event delivered twice; the watermark-bounded dedupe keeps one."""

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.numeric import money_sum
+from salesmart.operators import cleanse
+from salesmart.schema import API_RECORD_SCHEMA
+from salesmart.sources.files import CORRUPT
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -56,6 +59,22 @@ def ingest_day(stream: DataFrame, day: _dt.date | str, column: str = "ts") -> Da
     return stream.where((ts >= start) & (ts < end))
 
 
+def sales_records(spark: SparkSession, path: str) -> DataFrame:
+    """The sales feed as a stream: JSON lines landing in ``path``, with ``_corrupt_record``."""
+    schema = T.StructType([*API_RECORD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return file_stream(spark, path, schema, "json")
+
+
+def sales_day(records: DataFrame, day: _dt.date | str) -> DataFrame:
+    """X1 for sales (P8, P9): one day's records that load whole, typed as ODS."""
+    return cleanse.daily_increment(records.where(~cleanse.is_bad(CORRUPT)), day)
+
+
+def sales_rejects(records: DataFrame) -> DataFrame:
+    """The records that ``sales_day`` refuses, as JSON text, for a reject table of their own."""
+    return records.where(cleanse.is_bad(CORRUPT)).select(F.to_json(F.struct("*")).alias("record"))
+
+
 def dedupe(stream: DataFrame, keys: list[str], column: str = "ts",
            delay: str = "1 day") -> DataFrame:
     """Drop re-delivered records with the same ``keys`` within ``delay``.
@@ -76,16 +95,17 @@ def daily_totals(stream: DataFrame, column: str = "ts", value: str = "value",
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str,
-                   output_mode: str = "append") -> None:
+                   output_mode: str = "append", partition_by: list[str] | None = None) -> None:
     """Run a stream over everything available now into parquet at ``path``.
 
     ``append`` streams go to the file sink (exactly-once through its
-    metadata log). ``complete`` results are rewritten whole on every batch
+    metadata log; such a table is the stream's own, batch loads don't write to
+    it), in folders by ``partition_by`` if given. ``complete`` results are rewritten whole on every batch
     through ``foreachBatch``, keyed by batch id in the checkpoint.
     """
     if output_mode == "append":
         q = (stream.writeStream.format("parquet").option("path", path)
-                   .option("checkpointLocation", checkpoint)
+                   .option("checkpointLocation", checkpoint).partitionBy(*(partition_by or []))
                    .outputMode("append").trigger(availableNow=True).start())
     else:
         def write_batch(batch: DataFrame, _epoch: int) -> None:

@@ -29,9 +29,13 @@ def test_layer_jobs(spark, data_dir):
     out_root = scratch_path(spark, "t-marts")
     written = jobs.run_datamart(spark, ods_path, out_root)
     assert "top_customers" in written and "corr_segment" in written
-    got = {r.customer_name: r.sales for r in spark.read.parquet(f"{out_root}/top_customers").collect()}
-    want = {r.customer_name: r.sales for r in marts.mart(sales, "top_customers").collect()}
-    assert got == want
+    for name in marts.MARTS:  # from the sums of all key sets, as from the lines themselves
+        got = spark.read.parquet(f"{out_root}/{name}").collect()
+        assert sorted(got) == sorted(marts.mart(sales, name).collect()), name
+    from salesmart.operators import correlate
+    for dim in jobs.CORR_DIMENSIONS:
+        got = spark.read.parquet(f"{out_root}/corr_{dim}").orderBy("pos_x", "pos_y").collect()
+        assert got == correlate.one_hot_corr(sales, dim).orderBy("pos_x", "pos_y").collect(), dim
 
     csv_out = scratch_path(spark, "t-fc-csv")
     fc = jobs.run_forecast(spark, ods_path, scratch_path(spark, "t-fc"), csv_path=csv_out)

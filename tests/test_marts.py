@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import geo, marts
+from salesmart.session import scratch_path
 
 EDGE_SCHEMA = "customer_name string, city string, state string, category string, sub_category string, sales double"
 
@@ -71,6 +72,26 @@ def test_share_sums_to_one(edges):
     assert sum(shares) == pytest.approx(1.0, abs=1e-3)
 
 
+def test_share_of_a_zero_total_is_null(edges):
+    rows = marts.share_of_total(edges.withColumn("sales", F.lit(0.0)), "category").collect()
+    assert len(rows) == 3 and all(r.share is None for r in rows)
+    assert marts.share_of_total(edges.limit(0), "category").count() == 0
+
+
+def test_grouped_sums_hold_every_key_set_from_one_scan(spark, edges):
+    path = scratch_path(spark, "t-edges")
+    edges.write.parquet(path)
+    lines = spark.read.parquet(path)
+    sets = [["customer_name"], ["category", "sub_category"], ["category"]]
+    sums = marts.grouped_sums(lines, sets)
+    assert sums._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    for keys in sets:
+        got = marts.group_sum(marts.of_keys(sums, keys), keys).collect()
+        assert sorted(got) == sorted(marts.group_sum(lines, keys).collect())
+    nobody = marts.of_keys(sums, ["customer_name"]).where("customer_name IS NULL").first()
+    assert (nobody["lines"], nobody["n"], float(nobody["sales"])) == (1, 1, 100.0)
+
+
 def test_top_n_per_group(edges):
     out = marts.top_n_per_group(edges, ["state"], ["customer_name"], 1, post="none").collect()
     by_state = {r.state: r.customer_name for r in out}

@@ -1,6 +1,8 @@
 """Structured Streaming ingest, dedupe and daily windows on the events table."""
 
 import datetime as dt
+import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -67,3 +69,19 @@ def test_table_as_a_folder_of_part_files_and_an_empty_day(spark, data_dir):
     day = ingest.ingest_day(_stream(spark, data_dir), "1999-01-01")
     ingest.run_to_parquet(day, out, ckpt)
     assert spark.read.schema(day.schema).parquet(out).count() == 0
+
+
+def test_sales_feed_keeps_the_day_once_and_its_rejects(spark):
+    feed, out, ckpt, bad = (scratch_path(spark, f"t-sales-{x}") for x in ("feed", "out", "ckpt", "bad"))
+    os.makedirs(feed)
+    rec = {"Order ID": "CA-1", "Order Date": "2020-11-08", "Ship Date": "2020-11-09", "Customer Name": "O'Hara", "Sales": "2.5"}
+    lines = [json.dumps(r) for r in (rec, rec, dict(rec, **{"Order Date": "2020-11-07"}), dict(rec, Sales="a lot"))]
+    with open(os.path.join(feed, "a.json"), "w") as fh:
+        fh.write("\n".join([*lines, "{broken"]) + "\n")
+    records = ingest.sales_records(spark, feed)
+    for _ in range(2):  # a second run finds no new files
+        ingest.run_to_parquet(ingest.sales_day(records, "2020-11-08"), out, ckpt, partition_by=["order_date"])
+    got = spark.read.parquet(out).collect()
+    assert [(r.order_id, r.customer_name, r.sales, r.order_date.isoformat()) for r in got] == [("CA-1", "O'Hara", 2.5, "2020-11-08")] * 2
+    ingest.run_to_parquet(ingest.sales_rejects(records), bad, ckpt + "-bad")
+    assert spark.read.parquet(bad).count() == 2
