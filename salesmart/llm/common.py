@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterator
 
@@ -67,6 +68,17 @@ def per_process(name: str, make: Callable):
     return cache[name]
 
 
+def resident(name: str, make: Callable):
+    """Like ``per_process`` for large things: a worker holds the last one alone, so that models and
+    caches of earlier stages, or of earlier inputs, don't add up in a worker that lives on."""
+    cache = sys.__dict__.setdefault("_salesmart_resident", {})
+    if name not in cache:
+        cache.clear()
+        gc.collect()
+        cache[name] = make()
+    return cache[name]
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id and the text (null: empty), under fixed names: extra columns and
     clashing names in ``docs`` never reach an operator."""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import id_and_text, per_process, slices
+from salesmart.llm.common import id_and_text, per_process, resident, slices
 
 SAMPLE_DOCUMENTS, SAMPLE_CHARS, TABLE_BYTES, LETTERS = 300, 60_000, 64 << 20, 120
 STRETCH = 512
@@ -94,22 +94,25 @@ class Model:
         self.code[0] = 0
         self.code[known] = np.arange(1, len(known) + 1)
         most = table_bytes // (max(1, len(points)) * self.width * 4 * 2)
-        rows, self.roots, self.bits = [], [], []
+        codes = {k: self.code[points[k][:most]] for k in self.languages}
+        self.roots, self.bits = [], []
+        # An automaton of n letters has at most 2n + 1 states; rows that stay unused are never touched.
+        table = np.empty((sum(2 * len(c) + 1 for c in codes.values()), self.width), np.int32)
         at = 0
         for k in self.languages:
-            to = _automaton(self.code[points[k][:most]].tolist())
+            to = _automaton(codes[k].tolist())
             root = np.full(self.width, at, np.int64)
             for c, s in to[0].items():
                 root[c] = at + s
-            table = np.tile(root * self.width * 2 + 1, (len(to), 1))
+            part = table[at:at + len(to)]
+            part[:] = root * self.width * 2 + 1
             for s, nexts in enumerate(to):
                 if s:
-                    table[s, list(nexts)] = (np.fromiter(nexts.values(), np.int64, len(nexts)) + at) * self.width * 2
-            rows.append(table.astype(np.int32))
+                    part[s, list(nexts)] = (np.fromiter(nexts.values(), np.int64, len(nexts)) + at) * self.width * 2
             self.roots.append(at * self.width)
             self.bits.append(np.log2(max(2, min(most, len(points[k])))))
             at += len(to)
-        self.table = np.concatenate(rows).ravel() if rows else np.zeros(0, np.int32)
+        self.table = table[:at].ravel()
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(languages x texts) bits a letter, and whether a text has letters."""
@@ -181,7 +184,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def _predictor(samples: dict[str, str]):
     name = "language " + hashlib.sha256(repr(sorted(samples.items())).encode()).hexdigest()
-    return lambda: per_process(name, lambda: Model(samples))
+    return lambda: resident(name, lambda: Model(samples))
 
 
 def predictions(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

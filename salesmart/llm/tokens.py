@@ -17,7 +17,7 @@ from itertools import chain, count
 
 import numpy as np
 
-from salesmart.llm.common import per_process
+from salesmart.llm.common import resident
 
 VOCABULARY = "byte_bpe_50k.json"
 _GAP = re.compile(r"(?<=\S) (?=\S)")
@@ -161,7 +161,7 @@ def vocabulary_path() -> str:
 
 def encoder(path: str | None) -> Encoder:
     """The worker's encoder for ``path`` (None: the public vocabulary as installed on the worker)."""
-    return per_process(f"encoder {path}", lambda: Encoder(path or vocabulary_path()))
+    return resident(f"encoder {path}", lambda: Encoder(path or vocabulary_path()))
 
 
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

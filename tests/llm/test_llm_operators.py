@@ -234,6 +234,15 @@ def test_targets_reshare_what_is_over_three_times_a_source(spark):
     assert abs(got["b"] / got["c"] - 2) < 1e-9
 
 
+def test_a_worker_holds_one_large_thing_at_a_time():
+    from salesmart.llm.common import resident
+    made = []
+    make = lambda x: lambda: made.append(x) or [x]
+    first = resident("a", make("a"))
+    assert resident("a", make("a")) is first and resident("b", make("b")) == ["b"]
+    assert resident("a", make("a")) == ["a"] and made == ["a", "b", "a"]
+
+
 def test_longest_match_phrases_against_search():
     model = language.Model({"x": "abracadabra abra", "y": "mississippi miss"})
     def phrases(text, sample):
