@@ -18,7 +18,8 @@ blocks are joined in page order.
 A page is a row of its own, so pages spread over all tasks. Character
 references are decoded, white space inside a block becomes one space, <br> too.
 Null, empty or tagless html: no blocks, or one block of plain text. Unclosed,
-misnested and cut-off tags are accepted. Repeated rows give repeated results.
+misnested and cut-off tags are accepted. Only raw text (script, style, title, textarea) and comments are no text of
+the page; buttons, selects, objects, svg, templates and frames are blocks like others. Repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -42,15 +43,19 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body center dd detail
     tr ul""".split())
 VOID_TAGS = frozenset("hr br img input meta link area base col embed source track wbr".split())
 CONTENT_TAGS = frozenset("article main".split())
-OTHER_TAGS = frozenset("nav footer aside header form menu dialog fieldset button select label".split())
+OTHER_TAGS = frozenset("""nav footer aside header form menu dialog fieldset button select label object svg template
+    iframe noscript""".split())
 OTHER_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent
     notice notices gdpr popup modal newsletter subscribe sidebar side menu nav navbar navigation breadcrumb breadcrumbs
     header footer masthead comment comments reply replies respond disqus social share sharing related recommended
     widget login signup""".split())
+# Inside text; blocks of their own, telling -1, where they are closed and hold text.
+EMBEDDED_TAGS = frozenset("button select object svg template iframe noscript".split())
 CLOSES_P = BLOCK_TAGS - {"html", "body"}
 
+# Raw text runs to its end tag or the end of the page; a self-closed or longer name (<title-bar>) opens none.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|textarea|svg|iframe|object|select|button)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|title|textarea)(?=[\s/>])(?!/>)[^>]*(?<![\s\"']/)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -74,8 +79,31 @@ def _telling(tag: str, attrs: str, inside: int) -> int:
     return -1 if tag in OTHER_TAGS else 0
 
 
+def _embedded(tokens: list[re.Match]) -> set[int]:
+    """Which tokens open or close an embedded element that is closed within its parent and holds text."""
+    out: set[int] = set()
+    stack: list[tuple[str, int, int]] = []  # tag, token, texts before it
+    texts = 0
+    for i, m in enumerate(tokens):
+        tag = m[3] and m[3].lower()
+        if tag is None:
+            texts += (m[0][0] != "<" or m[0] == "<") and not m[0].isspace()
+        elif tag in VOID_TAGS or tag not in BLOCK_TAGS and tag not in EMBEDDED_TAGS or m[4].endswith("/"):
+            continue
+        elif not m[2]:
+            stack.append((tag, i, texts))
+        elif any(s[0] == tag for s in stack):
+            while (last := stack.pop())[0] != tag:
+                pass
+            if tag in EMBEDDED_TAGS and texts > last[2]:
+                out |= {last[1], i}
+    return out
+
+
 def blocks(html: str) -> list[Block]:
     """The page's blocks in order. A path is the open block elements, as (tag, number in the page)."""
+    tokens = list(_TOKEN.finditer(html))
+    embedded = _embedded(tokens)
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = []  # tag, number, what it tells (inherited)
     held: list[str] = []
@@ -89,7 +117,7 @@ def blocks(html: str) -> list[Block]:
         held.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(html):
+    for i, m in enumerate(tokens):
         tag = m[3]
         if tag is None:
             piece = m[0]
@@ -101,9 +129,9 @@ def blocks(html: str) -> list[Block]:
         tag = tag.lower()
         if tag == "a":
             link = 0 if m[2] else 1
-        elif tag == "br":
+        elif tag in ("br", "option"):
             held.append(" ")
-        elif tag in BLOCK_TAGS:
+        elif tag in BLOCK_TAGS or i in embedded:
             close()
             link = 0
             if m[2]:

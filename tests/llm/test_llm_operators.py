@@ -364,3 +364,21 @@ def test_pipeline_stages(spark, docs):
     for r in out:
         have[r["doc_id"]] += r["length"]
     assert have == collections.Counter({d: sum(n * c for (e, n), c in want.items() if e == d) for d in {d for d, _ in want}})
+
+
+@pytest.mark.parametrize("inside", [
+    "<svg class='i' viewBox='0 0 1 1'/>", "<object data='x.swf' />", "<button>", "<select name=s><option>a", "<iframe src='x'>", "<svg-icon>", "<button-group>",
+    "<title-bar>", "<script src='x'/>", "<title/>", "<template>", "<!-->", "<noscript>"])
+def test_main_text_keeps_what_follows_embedded_elements(inside):
+    html = f"<nav><a href=x>Home</a></nav><article><p>First words.</p>{inside}<p>Second words.</p><p>Third <svg><path/></svg>words.</article>"
+    assert [b.text for b in main_text.blocks(html) if "words" in b.text][1:] == ["Second words.", "Third words."]
+    assert "First words." in main_text.main_text(html, np.zeros(8)).split("\n")
+    assert main_text.main_text(html, np.zeros(8)).endswith("Second words.\nThird words.")
+
+
+def test_main_text_labels_embedded_text_and_drops_raw_text():
+    html = ("<article><p>One.</p><button>Share this</button><select><option>a<option>b</select><svg><title>T</title><text>icon</text></svg><p>Two.</p>"
+            "<template>later</template><script>var a</script ><textarea>typed</textarea><p>Three.</p></article>")
+    found = main_text.blocks(html)
+    assert [b.text for b in found] == ["One.", "Share this", "a b", "icon", "Two.", "later", "Three."]
+    assert main_text.main_text(html, np.zeros(8)) == "One.\nTwo.\nThree."
