@@ -8,7 +8,7 @@ cost, and these costs are its capacities to the two terminals:
   features (length, link share, punctuation, words, capitals), trained on blocks whose
   elements tell (inside <article> or <main> against <nav>, <footer> ...) of a
   bounded sample of pages (``sample_pages``, by hash of the html);
-* what the path says comes on top: the innermost telling element or class name.
+* what the path says comes on top: the innermost telling element or, weaker than the classifier can be, class name.
 
 Smoothness edges join neighbours in page order and the closest blocks with the
 same parent element; their capacity grows with the share of the path in common.
@@ -49,6 +49,11 @@ OTHER_NAMES = frozenset("""ad ads advert adverts advertisement advertising banne
     notice notices gdpr popup modal newsletter subscribe sidebar side menu nav navbar navigation breadcrumb breadcrumbs
     header footer masthead comment comments reply replies respond disqus social share sharing related recommended
     widget login signup""".split())
+# Words that leave a name of the above what it is (site-footer, ad-slot); any other word makes it unknown (has-sidebar).
+NAME_PARTS = OTHER_NAMES | frozenset("""area articles bar bottom bottombar box buttons container content form global group inner item items
+    left links list main middle outer overlay panel posts primary right secondary section site slot stories top unit wrap wrapper""".split())
+HEADING_NAMES = frozenset("header masthead section content".split())
+NAMED = 1 / 3
 # Inside text; blocks of their own, telling -1, where they are closed and hold text.
 EMBEDDED_TAGS = frozenset("button select object svg template iframe noscript".split())
 CLOSES_P = BLOCK_TAGS - {"html", "body"}
@@ -57,26 +62,38 @@ CLOSES_P = BLOCK_TAGS - {"html", "body"}
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|title|textarea)(?=[\s/>])(?!/>)[^>]*(?<![\s\"']/)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+_PARTS = re.compile(r"[-_\d]+")
 
 
 class Block:
     __slots__ = ("text", "path", "linked", "tell")
 
-    def __init__(self, text: str, path: tuple, linked: int, tell: int):
+    def __init__(self, text: str, path: tuple, linked: int, tell: float):
         self.text, self.path, self.linked, self.tell = text, path, linked, tell
 
 
-def _telling(tag: str, attrs: str, inside: int) -> int:
-    """1 if an element holds content, -1 if it doesn't, 0 if it doesn't tell; ``inside``: what is around it."""
-    if attrs and any(OTHER_NAMES & set(_WORD.findall(m[1].lower())) for m in _NAMES.finditer(attrs)):
-        return -1
+def _names(attrs: str, inside: float) -> bool:
+    """Whether a whole class, id or role is a name of what is no content; in content a header is its heading."""
+    for m in _ATTRIBUTE.finditer(attrs):
+        if m[1].lower() in ("class", "id", "role"):
+            for name in m[2].strip("\"'").lower().split():
+                parts = {x for x in _PARTS.split(name) if x}
+                if parts <= NAME_PARTS and parts & OTHER_NAMES and not (inside > 0 and parts <= HEADING_NAMES):
+                    return True
+    return False
+
+
+def _telling(tag: str, attrs: str, inside: float) -> float:
+    """1 if an element holds content, -1 if it doesn't, -NAMED if just its name says so, 0 if it doesn't tell;
+    ``inside``: what is around it."""
     if tag in CONTENT_TAGS:
         return 1
-    if tag == "header" and inside > 0:
-        return 0  # an article's own heading
-    return -1 if tag in OTHER_TAGS else 0
+    if tag in ("html", "body") or tag == "header" and inside > 0:
+        return 0  # the whole page; an article's own heading
+    if tag in OTHER_TAGS:
+        return -1
+    return -NAMED if attrs and _names(attrs, inside) else 0
 
 
 def _embedded(tokens: list[re.Match]) -> set[int]:
@@ -105,7 +122,7 @@ def blocks(html: str) -> list[Block]:
     tokens = list(_TOKEN.finditer(html))
     embedded = _embedded(tokens)
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # tag, number, what it tells (inherited)
+    stack: list[tuple[str, int, float]] = []  # tag, number, what it tells (inherited)
     held: list[str] = []
     link = linked = number = 0
 
@@ -155,7 +172,7 @@ def features(b: Block) -> list[float]:
     n, words = len(b.text), b.text.count(" ") + 1
     stops = sum(b.text.count(c) for c in ".!?")
     return [1.0, min(np.log1p(n) / 6, 2.0), b.linked / n, min(words / 40, 3.0), min(stops / 5, 3.0),
-            float(b.text[-1] in ".!?:"), sum(c.isupper() for c in b.text[:400]) / min(n, 400),
+            float(b.text[-1] in ".!?:"), sum(map(str.isupper, b.text)) / n,
             sum(c in "|©·»/" for c in b.text) / n]
 
 

@@ -382,3 +382,22 @@ def test_main_text_labels_embedded_text_and_drops_raw_text():
     found = main_text.blocks(html)
     assert [b.text for b in found] == ["One.", "Share this", "a b", "icon", "Two.", "later", "Three."]
     assert main_text.main_text(html, np.zeros(8)) == "One.\nTwo.\nThree."
+
+
+@pytest.mark.parametrize("page", [
+    "<article class='post has-sidebar'><p>Words.</p></article>", "<main class='no-sidebar'><p>Words.</p></main>", "<main id='sidebar'><p>Words.</p></main>",
+    "<article><header class='entry-header'><p>Words.</p></header></article>", "<article><header class='header'><p>Words.</p></header></article>",
+    "<article><section id='related-work'><p>Words.</p></section></article>", "<article><div class='side-effects'><p>Words.</p></div></article>",
+    "<article><div data-id='comments' title='class=ad'><p>Words.</p></div></article>", "<body class='has-sidebar sidebar'><div><p>Words.</p></div>"])
+def test_main_text_names_do_not_overrule_content(page):
+    html = "<nav><a href=x>Home</a></nav>" + page
+    sure = np.array([1.0, *[0.0] * 7])
+    assert main_text.main_text(html, sure) == "Words."
+
+
+@pytest.mark.parametrize("name", ["ad", "Sidebar", "site-footer", "ad-slot-3", "related_posts", "x cookie-banner", "comments-area"])
+def test_main_text_names_tell_but_can_be_outvoted(name):
+    html = f"<article><p>Words.</p></article><div class='{name}'><p>More words.</p></div>"
+    assert main_text.main_text(html, np.array([2.0, *[0.0] * 7])) == "Words."
+    assert main_text.main_text(html, np.array([6.0, *[0.0] * 7])) == "Words.\nMore words."
+    assert main_text.features(main_text.Block("a" * 400 + "B" * 400, (), 0, 0))[6] == 0.5
