@@ -2,8 +2,8 @@
 
 Nearness is the largest inner product. Rows with equal vectors are one node, so
 a vector that many rows share is searched once; results are expanded to rows
-at the end. Vectors travel as 8-bit codes with a scale; final scores are double
-precision on the original vectors.
+at the end. Vectors travel as 16-bit codes with a scale; the whole beam is scored
+in double precision on the original vectors before the best are taken.
 
 Build: leaves of ``trees`` random-hyperplane orders give first neighbours. Then
 each round joins neighbours of neighbours: every node gathers its neighbours
@@ -14,7 +14,7 @@ members, so no node is hot.
 
 Search: a query keeps a beam of ``beam`` nodes, expands its best unexpanded ones,
 ``expand`` a round, through a join with the graph (both edge directions), and is
-done when all of its beam is expanded. It starts from its own node's
+done when all of its beam is expanded; nodes in its beam are not sent to it again. It starts from its own node's
 neighbours and from ``entries`` fixed nodes, so clusters that no edge joins are
 reached too. The frontier is a table; only counts reach the driver.
 
@@ -35,15 +35,16 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import groups, written
 
 K, REVERSE, TREES, LEAF, ROUNDS, SETTLED = 20, 20, 4, 64, 8, 0.02
-BEAM, EXPAND, ENTRIES, RESCORED = 400, 50, 64, 64
+BEAM, EXPAND, ENTRIES = 400, 50, 64
 SEND = 8
+STEPS = 32767
 _NEAR = "node long, ids array<long>, sims array<float>, own boolean"
 
 
 def _matrix(column) -> np.ndarray:
-    """A binary column of equal lengths as rows of 8-bit codes."""
+    """A binary column of equal lengths as rows of 16-bit codes."""
     values = column.to_pylist()
-    return np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1).astype(np.float32)
+    return np.frombuffer(b"".join(values), np.int16).reshape(len(values), -1).astype(np.float32)
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -104,9 +105,9 @@ def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             for i, v in enumerate(b.column("vector")):
                 vectors[i, :len(v)] = v.values.to_numpy()
             most = np.abs(vectors).max(axis=1, initial=0)
-            codes = np.rint(vectors / most[:, None] * 127).astype(np.int8)
+            codes = np.rint(vectors / most[:, None] * STEPS).astype(np.int16)
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array((most / 127).astype(np.float32))],
+                [b.column("node"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array((most / STEPS).astype(np.float32))],
                 names=["node", "code", "scale"])
 
     codes = distinct.select("node", "vector").mapInArrow(encode, "node long, code binary, scale float")
@@ -212,8 +213,8 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
 
 def search(index: Index, starts: DataFrame, beam: int = BEAM, expand: int = EXPAND, entries: int = ENTRIES,
-           rescored: int = RESCORED, reverse: int = REVERSE) -> DataFrame:
-    """(query, node, score): the nodes that greedy search finds for each of ``starts`` (node), scored in double precision."""
+           reverse: int = REVERSE) -> DataFrame:
+    """(query, node, score): the beam that greedy search ends with for each of ``starts`` (node), scored in double precision."""
     codes = index.nodes.select(F.col("node").alias("other"), "code", "scale")
     links = written(_with_reverse(index.graph, reverse).groupBy("node").agg(F.collect_list("other").alias("others")), "ann-links")
     fixed = index.nodes.select("node").orderBy(F.xxhash64("node")).limit(entries)
@@ -247,7 +248,7 @@ def search(index: Index, starts: DataFrame, beam: int = BEAM, expand: int = EXPA
                 new = got.column("other").to_numpy()
                 fresh = ~np.isin(new, ids)
                 vectors = _matrix(got.column("code")) * got.column("scale").to_numpy()[:, None]
-                score = (vectors @ (np.frombuffer(own, np.int8).astype(np.float32) * own_scale)).astype(np.float32)
+                score = (vectors @ (np.frombuffer(own, np.int16).astype(np.float32) * own_scale)).astype(np.float32)
                 ids, sims = np.concatenate([ids, new[fresh]]), np.concatenate([sims, score[fresh]])
                 done = np.concatenate([done, np.zeros(int(fresh.sum()), bool)])
             best = np.lexsort((ids, -sims))[:beam]
@@ -271,33 +272,40 @@ def search(index: Index, starts: DataFrame, beam: int = BEAM, expand: int = EXPA
             reached = reached.unionByName(front.select("query", F.col("node").alias("other")))
             if fixed_ids:
                 reached = reached.unionByName(state.select("query", F.explode(F.array(*[F.lit(i).cast("long") for i in fixed_ids])).alias("other")))
-        found = reached.distinct().join(codes, "other").select("query", *none, "other", "code", "scale")
+        known = state.select("query", F.explode("ids").alias("other"), F.lit(False).alias("new"))
+        reached = reached.withColumn("new", F.lit(True)).unionByName(known).groupBy("query", "other").agg(
+            F.min("new").alias("new")).where("new").drop("new")
+        found = reached.join(codes, "other").select("query", *none, "other", "code", "scale")
         held = state.select("query", "own", "own_scale", "ids", "sims", "done", *empty)
         state = written(held.unionByName(found).repartition("query").sortWithinPartitions("query").mapInArrow(step, kind), "ann-beam")
         round_ += 1
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = []
-            for own, other in zip(b.column("query_vector"), b.column("vector"), strict=True):
-                x, y = own.values.to_numpy(), other.values.to_numpy()
-                m = min(len(x), len(y))
-                scores.append(float(np.dot(x[:m], y[:m])))
+            own, other = b.column("query_vector"), b.column("vector")
+            sizes = pa.compute.list_value_length(own).to_numpy(), pa.compute.list_value_length(other).to_numpy()
+            if len(np.unique(np.concatenate(sizes))) == 1:
+                x, y = (c.flatten().to_numpy().reshape(b.num_rows, -1) for c in (own, other))
+                scores = np.einsum("ij,ij->i", x, y)
+            else:
+                scores = [float(np.dot(x.values.to_numpy()[:m], y.values.to_numpy()[:m]))
+                          for x, y, m in zip(own, other, np.minimum(*sizes).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("query"), b.column("node"), pa.array(scores, pa.float64())],
                                              names=["query", "node", "score"])
 
-    best = state.select("query", F.explode(F.slice("ids", 1, rescored)).alias("node"))
+    best = state.select("query", F.explode("ids").alias("node"))
     vectors = index.nodes.select("node", "vector")
     pairs = best.join(vectors, "node").join(vectors.select(F.col("node").alias("query"), F.col("vector").alias("query_vector")), "query")
     return pairs.select("query", "node", "query_vector", "vector").mapInArrow(exact, "query long, node long, score double")
 
 
-def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20, **options) -> DataFrame:
+def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20,
+            beam: int | None = None, expand: int = EXPAND, entries: int = ENTRIES, **options) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id satisfies ``queries`` (a function of the id column),
-    the ``top`` nearest other rows found."""
+    the ``top`` nearest other rows found. The beam grows with the root of the number of nodes, from BEAM on."""
     index = build(vectors, id_col, vector_col, **options)
     asked = index.members.where(queries(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "node").distinct()
-    found = search(index, asked, rescored=max(RESCORED, top + 1), beam=max(BEAM, 2 * top))
+    found = search(index, asked, beam=max(beam or max(BEAM, round(4 * index.nodes.count() ** 0.5)), 2 * top), expand=expand, entries=entries)
     # Of rows with the same vector only the top + 1 smallest ids can be wanted.
     ids = Window.partitionBy("node").orderBy("vec_id")
     few = index.members.withColumn("n", F.row_number().over(ids)).where(F.col("n") <= top + 1).drop("n")

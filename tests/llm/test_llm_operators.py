@@ -401,3 +401,24 @@ def test_main_text_names_tell_but_can_be_outvoted(name):
     assert main_text.main_text(html, np.array([2.0, *[0.0] * 7])) == "Words."
     assert main_text.main_text(html, np.array([6.0, *[0.0] * 7])) == "Words.\nMore words."
     assert main_text.features(main_text.Block("a" * 400 + "B" * 400, (), 0, 0))[6] == 0.5
+
+
+def _recall(spark, table, **options):
+    """Share of the true 20 nearest found for every tenth row, by brute force."""
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(table)], "vec_id long, embedding array<double>").repartition(3)
+    got = collections.defaultdict(set)
+    for r in _rows(neighbours.nearest(rows, lambda c: c % 10 == 0, **options)):
+        got[r["query_id"]].add(r["vec_id"])
+    hits = []
+    for q in range(0, len(table), 10):
+        order = np.lexsort((np.arange(len(table)), -(table @ table[q])))
+        hits.append(len(got[q] & set(order[order != q][:20].tolist())) / 20)
+    return np.mean(hits)
+
+
+def test_neighbours_recall_among_near_copies_and_below_an_outlier(spark):
+    r = np.random.default_rng(5)
+    near = r.standard_normal(16) + 0.002 * r.standard_normal((300, 16))
+    assert _recall(spark, near) >= 0.95
+    outlier = np.hstack([np.full((600, 1), 300.0), r.standard_normal((600, 15))])
+    assert _recall(spark, outlier, beam=120, expand=20, entries=8) >= 0.9
