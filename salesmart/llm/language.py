@@ -7,10 +7,11 @@ phrases; phrases x log2(training length) / length estimates the cross entropy,
 and the language with the least wins.
 
 Training reads a bounded sample (``sample_documents`` per language, and
-``sample_chars`` characters of them, less if ``table_bytes`` is short for all
-languages) of labelled rows that are not held out; it is the only thing on the
-driver. Each worker builds the automata once, as one dense table whose missing
-transitions already restart at the root, and steps all texts of a slice
+``sample_chars`` characters of them, the same for each language whatever their
+number) of labelled rows that are not held out; it is the only thing on the
+driver. Every letter of the sample has a code of its own. Each worker builds the
+automata once, as one sparse table (rows of transitions laid into each other's
+gaps; memory follows the letters learned), and steps all texts of a slice
 through all languages together. Whole texts are parsed, in stretches of
 ``STRETCH`` letters, so one very long text is many lanes.
 
@@ -23,7 +24,7 @@ out. The score is 1 - (least / second least) entropy (1 with one language).
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,10 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import id_and_text, per_process, resident, slices
 
-SAMPLE_DOCUMENTS, SAMPLE_CHARS, TABLE_BYTES, LETTERS = 300, 60_000, 64 << 20, 120
+SAMPLE_DOCUMENTS, SAMPLE_CHARS = 300, 60_000
+PIECES = 8
 STRETCH = 512
+_CODE_BITS = 21
 UNKNOWN = "und"
 
 
@@ -80,39 +83,56 @@ def _automaton(codes: list[int]) -> list[dict[int, int]]:
     return to
 
 
+def _laid(rows: list[dict[int, int]], taken: bytearray, r: random.Random) -> list[int]:
+    """A place for each row so that no two entries (place + code) meet and no two places are equal."""
+    at, used = [0] * len(rows), set()
+    for i in sorted(range(len(rows)), key=lambda i: -len(rows[i])):
+        codes = rows[i]
+        while (p := int(r.random() * len(taken))) in used or any(
+                p + c < len(taken) and taken[p + c] for c in codes):
+            pass
+        used.add(p)
+        at[i] = p
+        if codes and (more := p + max(codes) + 1 - len(taken)) > 0:
+            taken.extend(bytes(more))
+        for c in codes:
+            taken[p + c] = 1
+    return at
+
+
 class Model:
-    """Automata of all languages as one table. An entry is twice the place of the next state's
-    row, plus 1 if its letter begins a phrase."""
+    """Automata of all languages as one sparse table. A state is a place; its transition for a code is the entry at
+    place + code, if that holds the code (next place << _CODE_BITS | code). The roots' transitions stand apart."""
 
-    def __init__(self, samples: dict[str, str], table_bytes: int = TABLE_BYTES):
+    def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         points = {k: _letters(samples[k]) for k in self.languages}
-        seen = Counter(np.concatenate(list(points.values())).tolist() if points else [])
-        known = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if c][:LETTERS]
-        self.width = len(known) + 2  # 0: separator, the last: letters not known
-        self.code = np.full(0x110000, self.width - 1, np.uint8)
-        self.code[0] = 0
-        self.code[known] = np.arange(1, len(known) + 1)
-        most = table_bytes // (max(1, len(points)) * self.width * 4 * 2)
-        codes = {k: self.code[points[k][:most]] for k in self.languages}
+        known = np.unique(np.concatenate([np.zeros(1, np.uint32), *points.values()]))
+        self.width = len(known) + 1  # 0: separator, the last: letters of no sample
+        self.code = np.full(0x110000, self.width - 1, np.int32)
+        self.code[known] = np.arange(len(known))
         self.roots, self.bits = [], []
-        # An automaton of n letters has at most 2n + 1 states; rows that stay unused are never touched.
-        table = np.empty((sum(2 * len(c) + 1 for c in codes.values()), self.width), np.int32)
-        at = 0
-        for k in self.languages:
-            to = _automaton(codes[k].tolist())
-            root = np.full(self.width, at, np.int64)
-            for c, s in to[0].items():
-                root[c] = at + s
-            part = table[at:at + len(to)]
-            part[:] = root * self.width * 2 + 1
-            for s, nexts in enumerate(to):
-                if s:
-                    part[s, list(nexts)] = (np.fromiter(nexts.values(), np.int64, len(nexts)) + at) * self.width * 2
-            self.roots.append(at * self.width)
-            self.bits.append(np.log2(max(2, min(most, len(points[k])))))
-            at += len(to)
-        self.table = table[:at].ravel()
+        self.starts = np.empty((len(self.languages), self.width), np.int64)
+        r = random.Random(0)
+        parts, first = [], 0
+        for i, k in enumerate(self.languages):
+            to = _automaton(self.code[points[k]].tolist())
+            rows = [{}, *to[1:]]
+            taken = bytearray(max(2 * sum(map(len, rows)), 2 * len(rows)) + 1)
+            at = np.array(_laid(rows, taken, r), np.int64)
+            part = np.full(len(taken) + self.width, (1 << _CODE_BITS) - 1, np.int64)
+            lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+            total = int(lengths.sum())
+            codes = np.fromiter((c for row in rows for c in row), np.int64, total)
+            nexts = np.fromiter((s for row in rows for s in row.values()), np.int64, total)
+            part[np.repeat(at, lengths) + codes] = (at[nexts] + first) << _CODE_BITS | codes
+            self.starts[i] = at[0] + first
+            self.starts[i, list(to[0])] = at[list(to[0].values())] + first
+            self.roots.append(int(at[0]) + first)
+            self.bits.append(np.log2(max(2, len(points[k]))))
+            parts.append(part)
+            first += len(part)
+        self.table = np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(languages x texts) bits a letter, and whether a text has letters."""
@@ -126,14 +146,16 @@ class Model:
         size = np.minimum(STRETCH, lengths[text_of] - first * STRETCH)
         order = np.argsort(-size, kind="stable")
         size, begin = size[order], (np.repeat(np.cumsum(lengths) - lengths, counts) + first * STRETCH)[order]
-        flat = np.concatenate([*codes, np.zeros(STRETCH, np.uint8)])
+        flat = np.concatenate([*codes, np.zeros(STRETCH, np.int32)])
         phrases = np.zeros((len(self.languages), len(size)), np.int32)
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(size), axis=1)
+        state = np.repeat(np.array(self.roots, np.int64)[:, None], len(size), axis=1)
         for t in range(int(size[0]) if len(size) else 0):
             n = int(np.searchsorted(-size, -t, side="left"))
-            entry = self.table[state[:, :n] + flat[begin[:n] + t]]
-            phrases[:, :n] += entry & 1
-            state[:, :n] = entry >> 1
+            letter = flat[begin[:n] + t]
+            entry = self.table[state[:, :n] + letter]
+            begins = (entry & ((1 << _CODE_BITS) - 1)) != letter  # a letter that begins a phrase
+            phrases[:, :n] += begins
+            state[:, :n] = np.where(begins, self.starts[:, letter], entry >> _CODE_BITS)
         total = np.zeros((len(self.languages), len(texts)))
         for i in range(len(self.languages)):
             total[i] = np.bincount(text_of[order], weights=phrases[i], minlength=len(texts)) * self.bits[i]
@@ -154,7 +176,7 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
            documents: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Labelled text of each language, of rows that are not held out: a bounded, hash-ordered sample.
 
-    A sampled text gives at most 20 times its share of the characters.
+    A sampled text gives at most 20 times its share of the characters; a longer one, stretches from all over it.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
@@ -165,7 +187,10 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     if not counts:
         return {}
     shares = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(int(min(1.0, 4 * documents / n) * (1 << 30))))])
-    share = F.substring("text", 1, max(1, 20 * chars // documents))
+    most = max(1, min(chars, 20 * chars // documents))
+    piece = max(1, (most - PIECES + 1) // PIECES)
+    stretch = lambda i: F.substr("text", (F.floor((F.length("text") - piece) * i / (PIECES - 1)) + 1).cast("int"), F.lit(piece))
+    share = F.when(F.length("text") <= most, F.col("text")).otherwise(F.concat_ws("\n", *map(stretch, range(PIECES))))
     few = rows.withColumn("hash", F.xxhash64("id", "text")).where(F.pmod("hash", F.lit(1 << 30)) < shares[F.col("lang")]).select(
         "lang", "id", "hash", share.alias("text")).withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= documents)
     out: dict[str, list[str]] = {}

@@ -422,3 +422,20 @@ def test_neighbours_recall_among_near_copies_and_below_an_outlier(spark):
     assert _recall(spark, near) >= 0.95
     outlier = np.hstack([np.full((600, 1), 300.0), r.standard_normal((600, 15))])
     assert _recall(spark, outlier, beam=120, expand=20, entries=8) >= 0.9
+
+
+def test_language_model_keeps_every_letter_and_language():
+    r = random.Random(6)
+    script = [chr(c) for c in range(0x4e00, 0x4e00 + 3000)]
+    samples = {f"l{i:02d}": "".join(r.choices(script[i * 100:(i + 1) * 100], k=1500)) for i in range(30)}
+    model = language.Model(samples)
+    assert model.predict([s[700:760] for s in samples.values()])[0] == sorted(samples)
+    assert model.bits == [np.log2(1500)] * 30 and model.width == 3002
+    rare = language.Model({"x": "a" * 5000 + "".join(script[:500]), "y": "a" * 5000 + "".join(script[500:1000])})
+    assert rare.predict(["".join(script[490:500]), "".join(script[500:510])])[0] == ["x", "y"]
+
+
+def test_language_sample_takes_whole_texts(spark):
+    docs = spark.createDataFrame([(1, "a" * 9000 + "b" * 9000 + "c" * 9000, "x")], "doc_id long, text string, lang string")
+    got = language.sample(docs, documents=10, chars=900)["x"]
+    assert {"a", "b", "c"} <= set(got) and len(got) <= 900
