@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from salesmart.llm import language, mixing, ngram_join, packing, secrets
 from salesmart.llm.common import table, written
 
-#: Language models decide one stage, so SQL can't express run(); tests compare with a brute-force version.
+#: Language models decide one stage, so SQL can't express run(); tests go through its stages one by one, without an independent version.
 ORACLE_SQL = None
 
 

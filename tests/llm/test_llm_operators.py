@@ -439,3 +439,17 @@ def test_language_sample_takes_whole_texts(spark):
     docs = spark.createDataFrame([(1, "a" * 9000 + "b" * 9000 + "c" * 9000, "x")], "doc_id long, text string, lang string")
     got = language.sample(docs, documents=10, chars=900)["x"]
     assert {"a", "b", "c"} <= set(got) and len(got) <= 900
+
+
+def test_main_text_of_the_given_pages(spark, data_dir):
+    """Against the article's text by plain patterns, which hold for the given pages alone."""
+    import html as html_lib
+    pages = spark.read.parquet(f"{data_dir.replace('0.001', '0.01')}/pages.parquet")
+    html = {r["page_id"]: r["html"] for r in _rows(pages)}
+    got = _rows(main_text.extract(pages))
+    assert len(got) == len(html) and len(html) >= 250
+    for r in got:
+        article = re.search(r"<article>(.*?)</article>", html[r["page_id"]], re.S)[1]
+        parts = re.split(r"</?(?:p|h1|ul|li|div|table|tr|td|blockquote|h2)\b[^>]*>", re.sub(r"<!--.*?-->|<(script|style)>.*?</\1>", "", article, flags=re.S))
+        lines = [" ".join(html_lib.unescape(re.sub(r"<[^>]*>", "", re.sub("<br>", " ", p))).split()) for p in parts]
+        assert r["text"] == "\n".join(x for x in lines if x) and r["n_chars"] == len(r["text"])
