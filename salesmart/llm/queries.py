@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import hamming, language, main_text, mixing, neighbours, ngram_join, packing, pii, secrets, wavelet
+from salesmart.llm import (
+    hamming, language, main_text, middle, mixing, neighbours, ngram_join, packing, pii, resampling, secrets, wavelet,
+)
 from salesmart.llm.common import table
 from salesmart.llm.oracles import SECRETS_SQL
 
@@ -61,10 +63,22 @@ def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(codes, F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "distance")
 
 
+def op11_skip_list_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-middle, and the text restored from it."""
+    return middle.digests(middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the quarter that is drawn."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_ngram_join, op3_nn_descent, op4_multi_index_hashing, op5_mix_sources, op6_cross_parsing,
-    op7_residual_packing, op8_weak_pii, op9_entropy_secrets, op10_mincut_text)}
+    op7_residual_packing, op8_weak_pii, op9_entropy_secrets, op10_mincut_text, op11_skip_list_middle,
+    op13_importance_resampling)}
 
 ORACLES = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_multi_index_hashing": hamming.ORACLE_SQL,
            "op5_mix_sources": mixing.ORACLE_SQL,
-           "op9_entropy_secrets": SECRETS_SQL}
+           "op9_entropy_secrets": SECRETS_SQL, "op11_skip_list_middle": middle.ORACLE_SQL}
