@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import (
-    hamming, language, main_text, middle, mixing, neighbours, ngram_join, packing, pii, resampling, secrets, wavelet,
+    hamming, language, main_text, middle, mixing, neighbours, ngram_join, packing, pii, repeats, resampling, secrets,
+    wavelet,
 )
 from salesmart.llm.common import table
 from salesmart.llm.oracles import SECRETS_SQL
@@ -68,6 +69,12 @@ def op11_skip_list_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle.digests(middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that earlier documents hold."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's weight towards the benchmark, and the quarter that is drawn."""
     drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -77,7 +84,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_ngram_join, op3_nn_descent, op4_multi_index_hashing, op5_mix_sources, op6_cross_parsing,
     op7_residual_packing, op8_weak_pii, op9_entropy_secrets, op10_mincut_text, op11_skip_list_middle,
-    op13_importance_resampling)}
+    op12_suffix_dedup, op13_importance_resampling)}
 
 ORACLES = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_multi_index_hashing": hamming.ORACLE_SQL,
            "op5_mix_sources": mixing.ORACLE_SQL,
