@@ -97,7 +97,7 @@ class Block:
         for a in range(0, total, _CHUNK):
             n = min(_CHUNK, total - a)
             hashes = PrefixHashes(self.raw[a:a + n + length - 1])
-            least = mixed(hashes.of(np.arange(n + wide - 1), anchor)) & ~_U(1)
+            least = mixed(hashes.of(np.arange(n + wide - 1), anchor))
             key, where, span = least, np.arange(len(least), dtype=np.int32), 1
             while span < wide:  # least of ever longer spans, the left one of equals
                 d = min(span, wide - span)
@@ -117,7 +117,8 @@ class Block:
             out["start"].append(start + a)
             out["count"].append(count)
             out["anchor"].append(where[start] - start)
-            out["key"].append(key[where[start]])
+            # The least hashes are small ones: spread them again, even, for an even share of buckets.
+            out["key"].append(mixed(key[where[start]]) & ~_U(1))
             out["body"].append(hashes.of(start, count + length - 1) & _U((1 << bits) - 1))
         return {k: np.concatenate(v) if v else np.zeros(0, np.uint64 if k in ("key", "body") else np.int64) for k, v in out.items()}
 
@@ -337,7 +338,7 @@ def _earlier(found: list[list[np.ndarray]], length: int, anchor: int, bits: int)
         here = slice(base, base + len(f[1]))
         hashes, a = PrefixHashes(f[4]), at[here] - at[base]
         plain = place[here] >= 0
-        key.append(np.where(plain, mixed(hashes.of(a + np.maximum(place[here], 0), anchor)) & ~_U(1),
+        key.append(np.where(plain, mixed(mixed(hashes.of(a + np.maximum(place[here], 0), anchor))) & ~_U(1),
                             mixed(hashes.of(a, length)) | _U(1)))
         body.append(hashes.of(a, size[here]) & _U((1 << bits) - 1))
         base += len(f[1])
