@@ -4,7 +4,8 @@
     ods       STG parquet            -> ODS parquet, partitioned by order day
     datamart  ODS                    -> nine marts, sales by state, correlations
     forecast  ODS                    -> 7-day forecast mart, one model per series
-    daily     landed API JSON (day)  -> that day replaced in the ODS
+    daily     landed API JSON (day)  -> that day replaced in the ODS, and what that changed
+    delivery  some days of the ODS   -> marts, kept up to date from partial sums
 
 Every step reads and writes tables in storage, so a step that fails is
 re-run on its own and a lost executor only costs recomputing its tasks.
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.dates import parse_text_date
-from salesmart.operators import cleanse, correlate, forecast, geo, marts
+from salesmart.operators import changes, cleanse, correlate, forecast, geo, marts, rolling
 from salesmart.operators import series as ts
+from salesmart.schema import ODS_SCHEMA
 from salesmart.session import materialize, scratch_path
 from salesmart.sources import files, sinks
 
@@ -41,6 +43,28 @@ def rejects_path(ods_path: str) -> str:
     return ods_path.rstrip("/") + "_rejects"
 
 
+def changes_path(ods_path: str) -> str:
+    """What the daily loads changed: lines added and removed, one folder per day and load of it
+    (a load that is run again finds nothing changed)."""
+    return ods_path.rstrip("/") + "_changes"
+
+
+def run_delivery(spark: SparkSession, ods_path: str, marts_root: str, batch: int,
+                 days: list[str] | None = None, out_root: str | None = None) -> dict[str, DataFrame]:
+    """Marts after a delivery, from partial sums: ``days`` (None: all, for batch 0) of the ODS are
+    summed as delivery ``batch`` and replace what earlier batches held of them. With ``out_root``
+    the marts are written there."""
+    lines = files.read_ods(spark, ods_path)
+    if days is not None:
+        lines = lines.where(F.col("order_date").isin([_dt.date.fromisoformat(d) for d in days]))
+    built = rolling.build(rolling.deliver(lines, marts_root, batch))
+    if out_root:
+        sink = sinks.parquet_sink(out_root)
+        for name, df in built.items():
+            sink(name, df)
+    return built
+
+
 def rejects(spark: SparkSession, ods_path: str) -> DataFrame:
     """The lines that the last full load refused; a count of them says how many."""
     return spark.read.parquet(rejects_path(ods_path))
@@ -110,13 +134,19 @@ def run_daily(spark: SparkSession, landing_path: str, ods_path: str,
               as_of: _dt.date | str | None = None, multi_line: bool = True) -> int:
     """Landed API responses -> the day ``as_of`` (default today) replaces
     that day's partition in the ODS. Re-running the same day is idempotent.
-    Records that don't parse whole go to ``<ods_path>_rejects_api/api_day=...``."""
+    Records that don't parse whole go to ``<ods_path>_rejects_api/api_day=...``;
+    the lines that the delivery adds to the day or takes from it, to ``changes_path``."""
     records = files.read_api_json(spark, landing_path, multi_line=multi_line)
     bad = cleanse.is_bad(files.CORRUPT)
     on = as_of.isoformat() if isinstance(as_of, _dt.date) else (as_of or _dt.date.today().isoformat())
     records.where(bad).select(F.to_json(F.struct("*")).alias("record")).write.mode("overwrite").parquet(
         f"{rejects_path(ods_path)}_api/api_day={on}")
-    files.write_ods(cleanse.daily_increment(records.where(~bad), as_of), ods_path, days_only=True)
+    landed = materialize(cleanse.daily_increment(records.where(~bad), as_of))
+    files.create_ods(spark, ods_path)
+    archive = spark.read.schema(ODS_SCHEMA).parquet(ods_path).where(F.col("order_date") == F.lit(on).cast("date"))
+    at = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    changes.change_set(archive, landed, kept=False).write.parquet(f"{changes_path(ods_path)}/api_day={on}/loaded_at={at}")
+    files.write_ods(landed, ods_path, days_only=True)
     return files.read_ods(spark, ods_path).where(
         F.col("order_date") == F.lit(_dt.date.fromisoformat(as_of) if isinstance(as_of, str)
                                      else (as_of or _dt.date.today()))).count()
@@ -149,6 +179,12 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("landing_path")
     a.add_argument("ods_path")
     a.add_argument("--as-of", default=None)
+    a = sub.add_parser("delivery")
+    a.add_argument("ods_path")
+    a.add_argument("marts_root")
+    a.add_argument("batch", type=int)
+    a.add_argument("--days", nargs="*", default=None)
+    a.add_argument("--out", default=None)
     args = p.parse_args(argv)
 
     spark = build_session(app_name=f"salesmart-{args.step}")
@@ -163,6 +199,8 @@ def main(argv: list[str] | None = None) -> None:
                      csv_path=args.csv)
     elif args.step == "daily":
         run_daily(spark, args.landing_path, args.ods_path, args.as_of)
+    elif args.step == "delivery":
+        run_delivery(spark, args.ods_path, args.marts_root, args.batch, args.days, args.out)
 
 
 if __name__ == "__main__":

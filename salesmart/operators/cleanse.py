@@ -91,7 +91,7 @@ def is_bad(corrupt: str) -> Column:
     """Whether a record can't be loaded whole: not JSON, or with a date, postal code or
     sales value that is there but doesn't parse."""
     date = lambda c: parse_text_date(f"`{HEADER_NAMES[c]}`", "yyyy-MM-dd")
-    number = lambda c: F.col(f"`{HEADER_NAMES[c]}`").try_cast("double")
+    number = lambda c: F.col(f"`{HEADER_NAMES[c]}`").try_cast("double").try_cast(ODS_SCHEMA[c].dataType)
     bad = F.col(corrupt).isNotNull()
     for c, typed in [(c, date(c)) for c in ("order_date", "ship_date")] + [(c, number(c)) for c in ("postal_code", "sales")]:
         bad = bad | (F.col(f"`{HEADER_NAMES[c]}`").isNotNull() & typed.isNull())

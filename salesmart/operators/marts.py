@@ -72,19 +72,19 @@ def grouped_sums(sales: DataFrame, key_sets: list[list[str]], measure: str = "sa
     for s in key_sets:
         # grouping_id: a bit per key, the first key highest, set where the key is summed over.
         absent = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in s)
-        name = F.when(F.grouping_id() == absent, _set_name(s)).otherwise(name)
+        name = F.when(F.grouping_id() == absent, set_name(s)).otherwise(name)
     return sales.groupingSets(key_sets, *keys).agg(
         name.alias("key_set"), F.sum(y).alias(measure), F.count(measure).alias("n"),
         F.count(F.lit(1)).alias("lines"), F.sum(y * y).alias("sales_sq"))
 
 
-def _set_name(keys: list[str]) -> str:
+def set_name(keys: list[str]) -> str:
     return "-".join(keys)
 
 
 def of_keys(grouped: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of one key set of ``grouped_sums``: a mart's input like the lines themselves."""
-    return grouped.where(F.col("key_set") == _set_name(keys)).drop("key_set", *[
+    return grouped.where(F.col("key_set") == set_name(keys)).drop("key_set", *[
         c for c in grouped.columns if c not in (*keys, "sales", "n", "lines", "sales_sq")])
 
 

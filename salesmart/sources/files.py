@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.schema import API_RECORD_SCHEMA, HEADER_NAMES, RAW_SCHEMA, to_snake, with_headers
+from salesmart.schema import API_RECORD_SCHEMA, HEADER_NAMES, ODS_SCHEMA, RAW_SCHEMA, to_snake, with_headers
 
 CORRUPT = "_corrupt_record"
 
@@ -40,7 +40,10 @@ def read_raw_csv(spark: SparkSession, path: str, sep: str = ";",
                 .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     df = to_snake(df)
     if decimal_comma:
-        df = df.withColumn("sales", F.regexp_replace("sales", ",", ".").try_cast("double"))
+        # A Sales text that is no number makes the line a bad one, as it does without a decimal comma.
+        number = F.regexp_replace("sales", ",", ".").try_cast("double")
+        unread = F.when(F.col("sales").isNotNull() & number.isNull(), F.concat(F.lit("Sales: "), "sales"))
+        df = df.withColumn(CORRUPT, F.coalesce(CORRUPT, unread)).withColumn("sales", number)
     return df
 
 
@@ -96,6 +99,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",")
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
+def create_ods(spark: SparkSession, path: str, partition_col: str = "order_date") -> None:
+    """K2's create-if-absent: an empty ODS at ``path`` unless something is there."""
+    spark.createDataFrame([], ODS_SCHEMA).write.mode("ignore").partitionBy(partition_col).parquet(path)
+
+
 def read_ods(spark: SparkSession, path: str) -> DataFrame:
     """Read the partitioned ODS; filters on the partition column prune folders."""
     return spark.read.parquet(path)
