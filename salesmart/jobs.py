@@ -126,7 +126,7 @@ def run_forecast(spark: SparkSession, ods_path: str, out_path: str, steps: int =
     out.write.mode("overwrite").parquet(out_path)
     result = spark.read.parquet(out_path)
     if csv_path:
-        files.write_csv(result.select("series_id", "prediction_date", "predicted_sales"), csv_path)
+        files.write_csv(result.where(F.col("error").isNull()).select("series_id", "prediction_date", "predicted_sales"), csv_path)
     return result
 
 

@@ -295,8 +295,26 @@ def sarima_grid(series: DataFrame, grid: list[tuple] | None = None,
                 .drop("_best"))
 
 
+def _or_reason(schema: str):
+    """A group function whose failure is one row of the group's ``series_id`` and the ``error``, so
+    that a series too short or too plain for the model never fails the others."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def wrap(run):
+        def guarded(pdf: pd.DataFrame) -> pd.DataFrame:
+            try:
+                out = run(pdf)
+                out["error"] = None
+            except Exception as exc:  # reported per series, not raised
+                out = pd.DataFrame([dict.fromkeys(names) | {"series_id": pdf["series_id"].iloc[0], "error": f"{type(exc).__name__}: {exc}"}])
+            # Whole numbers stay whole beside missing ones.
+            return out.astype({c.split()[0]: "Int64" for c in schema.split(", ") if c.endswith("bigint")})
+        return guarded
+    return wrap
+
+
 COEF_SCHEMA = ("series_id string, term string, coef double, std_err double, z double, "
-               "p_value double, ci_lower double, ci_upper double")
+               "p_value double, ci_lower double, ci_upper double, error string")
 
 
 def _model_args(order, seasonal):
@@ -305,9 +323,11 @@ def _model_args(order, seasonal):
 
 def sarima_coefficients(series: DataFrame, order=DEFAULT_ORDER,
                         seasonal=DEFAULT_SEASONAL) -> DataFrame:
-    """Coefficient table (coef, std err, z, p, 95 % interval) and sigma2."""
+    """Coefficient table (coef, std err, z, p, 95 % interval) and sigma2; a series that can't
+    be fitted gives one row with the ``error``."""
     order, seasonal = _model_args(order, seasonal)
 
+    @_or_reason(COEF_SCHEMA)
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx")
         fit = fit_sarima(pdf["y"].dropna().to_numpy(), order, seasonal)
@@ -326,16 +346,18 @@ def sarima_coefficients(series: DataFrame, order=DEFAULT_ORDER,
     return series.select("series_id", "idx", "y").groupBy("series_id").applyInPandas(run, COEF_SCHEMA)
 
 
-PRED_SCHEMA = "series_id string, ds date, y double, yhat double, lower double, upper double"
+PRED_SCHEMA = "series_id string, ds date, y double, yhat double, lower double, upper double, error string"
 
 
 def sarima_predict(series: DataFrame, order=DEFAULT_ORDER, seasonal=DEFAULT_SEASONAL,
                    start: _dt.date | str | None = None) -> DataFrame:
     """T11+T12: one-step-ahead in-sample predictions with 95 % intervals,
-    from ``start`` (default: the first day the model can predict)."""
+    from ``start`` (default: the first day the model can predict). A series that
+    can't be fitted gives one row with the ``error``."""
     order, seasonal = _model_args(order, seasonal)
     start = _dt.date.fromisoformat(start) if isinstance(start, str) else start
 
+    @_or_reason(PRED_SCHEMA)
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=["y"]).sort_values("idx")
         y = pdf["y"].to_numpy()
@@ -355,20 +377,24 @@ def sarima_predict(series: DataFrame, order=DEFAULT_ORDER, seasonal=DEFAULT_SEAS
 
 
 FORECAST_SCHEMA = ("series_id string, prediction_date date, predicted_sales bigint, "
-                   "yhat double, lower double, upper double")
+                   "yhat double, lower double, upper double, error string")
 
 
 def sarima_forecast(series: DataFrame, steps: int = 7, order=DEFAULT_ORDER,
                     seasonal=DEFAULT_SEASONAL) -> DataFrame:
     """T14+T15: ``steps`` days after each series' last day; the sales figure
-    is truncated to an integer as in the reference's forecast mart."""
+    is truncated to an integer as in the reference's forecast mart. A series that can't be
+    fitted gives one row with the ``error``."""
     order, seasonal = _model_args(order, seasonal)
 
+    @_or_reason(FORECAST_SCHEMA)
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=["y"]).sort_values("idx")
         y = pdf["y"].to_numpy()
         fit = fit_sarima(y, order, seasonal)
         mean, se = forecast_path(y, fit, order, seasonal, steps)
+        if not np.isfinite(mean).all():
+            raise ValueError("the forecast is not finite")
         last = pd.Timestamp(pdf["ds"].iloc[-1])
         dates = [(last + pd.Timedelta(days=h)).date() for h in range(1, steps + 1)]
         return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "prediction_date": dates,

@@ -1,26 +1,30 @@
-"""Augmented Dickey-Fuller test per series (T5) and its verdicts.
-
-Each series is one group of ``applyInPandas``: after the daily reduction a
-series is a few thousand days, whatever the number of order lines, and the
-lag selection is a sequence of small least-squares fits on it. Many series
-run in parallel, one group each.
+"""Augmented Dickey-Fuller test per series (T5) and its verdicts (T6), in column expressions.
 
 Test definition (constant, no trend): regress dy_t on (1, y_(t-1),
 dy_(t-1), ..., dy_(t-p)); the statistic is the t-value of y_(t-1).
 The lag p is chosen by AIC among 0..maxlag on the common sample left after
 maxlag, maxlag = ceil(12 (n/100)^(1/4)) capped at n/2 - 2; the final
 regression is refitted at the chosen lag on its own, longer sample.
+
+A series' days become one row with an array (days, not lines: lines are summed
+long before), so any number of series spread over tasks, and no Python worker is
+needed. Each regression is one lagged Gram matrix and one Cholesky sweep over it.
+The regressors come in nested order, so the sweep's last row gives the residual
+sum of squares of *every* lag at once: the squared target less the squares of the
+row's first entries.
+
+A series without enough values, without change, or with a perfect fit has no
+statistic: its row says why (``reason``), and other series are not touched.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from salesmart.functions.normal import dot, let, norm_cdf
 
 # MacKinnon (1994) p-value surface, constant-only case, one
 # variable: bounds of the statistic, switch point, small-p and large-p
@@ -37,104 +41,117 @@ CRITICAL_2010 = {
     "10%": (-2.56677, -1.5384, -2.809, 0.0),
 }
 
-ADF_SCHEMA = ("series_id string, adf_stat double, p_value double, used_lag bigint, "
-              "nobs bigint, crit_1pct double, crit_5pct double, crit_10pct double, "
-              "ic_best double, stationary_1pct boolean, stationary_5pct boolean, "
-              "stationary_10pct boolean")
+#: A pivot this small beside its diagonal entry counts as zero: the column follows from those before it.
+_TINY = 1e-12
 
 
-def _norm_cdf(z: float) -> float:
-    return 0.5 * (1.0 + math.erf(z / math.sqrt(2.0)))
+def _poly(x: Column, coefficients) -> Column:
+    out = F.lit(0.0)
+    for c in reversed(coefficients):
+        out = out * x + c
+    return out
 
 
-def mackinnon_p(stat: float) -> float:
+def mackinnon_p(stat: Column) -> Column:
     """Approximate asymptotic p-value of the ADF statistic."""
-    if stat > TAU_MAX:
-        return 1.0
-    if stat < TAU_MIN:
-        return 0.0
-    coef = SMALL_P if stat <= TAU_STAR else LARGE_P
-    return _norm_cdf(sum(c * stat ** i for i, c in enumerate(coef)))
+    small, large = norm_cdf(_poly(stat, SMALL_P)), norm_cdf(_poly(stat, LARGE_P))
+    return (F.when(stat > TAU_MAX, F.lit(1.0)).when(stat < TAU_MIN, F.lit(0.0))
+             .when(stat <= TAU_STAR, small).when(stat.isNotNull(), large))
 
 
-def mackinnon_crit(nobs: int) -> dict[str, float]:
-    """Finite-sample critical values for ``nobs`` observations."""
-    return {k: sum(b / nobs ** i for i, b in enumerate(bs)) for k, bs in CRITICAL_2010.items()}
+def mackinnon_crit(nobs: Column, level: str) -> Column:
+    """Finite-sample critical value for ``nobs`` observations."""
+    return _poly(1.0 / nobs, CRITICAL_2010[level])
 
 
-def _ols(y: np.ndarray, X: np.ndarray):
-    beta, *_ = np.linalg.lstsq(X, y, rcond=None)
-    resid = y - X @ beta
-    return beta, float(resid @ resid)
+def gram(columns: Column) -> Column:
+    """Lower triangle of the matrix of products of an array of columns, row by row."""
+    return F.transform(columns, lambda c, i: F.transform(F.slice(columns, 1, i + 1), lambda d: dot(c, d)))
 
 
-def _design(x: np.ndarray, lags: int, nobs: int | None = None):
-    """Rows for the ADF regression with ``lags`` difference lags.
+def cholesky(rows: Column) -> Column:
+    """The lower factor of a ``gram`` triangle, row by row. From a pivot that is zero (or not
+    above rounding) on, entries are NULL."""
+    def entry(done: Column, above: Column, row: Column) -> Column:
+        k = F.size(done)
+        return F.array_append(done, (F.element_at(row, k + 1) - dot(done, F.slice(above, 1, k))) / F.element_at(above, k + 1))
 
-    Returns (dy, X) for the last ``nobs`` usable rows, X = [1, y_(t-1),
-    dy_(t-1), ..., dy_(t-lags)].
-    """
-    dx = np.diff(x)
-    n = len(dx) - lags if nobs is None else nobs
-    rows = np.arange(len(dx) - n, len(dx))
-    cols = [np.ones(n), x[rows]] + [dx[rows - j] for j in range(1, lags + 1)]
-    return dx[rows], np.column_stack(cols)
-
-
-def adf(x, maxlag: int | None = None) -> dict:
-    """ADF test with AIC lag selection on a 1-d array (NaNs removed)."""
-    x = np.asarray(x, dtype=float)
-    x = x[~np.isnan(x)]
-    n = len(x)
-    if maxlag is None:
-        maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
-        maxlag = min(n // 2 - 2, maxlag)
-    if maxlag < 0:
-        raise ValueError("series too short for the ADF test")
-    common = len(x) - 1 - maxlag
-    best = None
-    for lags in range(0, maxlag + 1):
-        dy, X = _design(x, lags, common)
-        _, ssr = _ols(dy, X)
-        k = X.shape[1]
-        aic = common * (math.log(2 * math.pi) + math.log(ssr / common) + 1) + 2 * k
-        if best is None or aic < best[0]:
-            best = (aic, lags)
-    ic_best, lags = best
-    dy, X = _design(x, lags)
-    beta, ssr = _ols(dy, X)
-    nobs, k = X.shape
-    sigma2 = ssr / (nobs - k)
-    cov = sigma2 * np.linalg.pinv(X.T @ X)
-    stat = float(beta[1] / math.sqrt(cov[1, 1]))
-    crit = mackinnon_crit(nobs)
-    return {"adf_stat": stat, "p_value": mackinnon_p(stat), "used_lag": lags, "nobs": nobs,
-            "crit": crit, "ic_best": ic_best}
-
-
-def _adf_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("idx")
-    r = adf(pdf["y"].to_numpy())
-    c = r["crit"]
-    return pd.DataFrame([{
-        "series_id": pdf["series_id"].iloc[0], "adf_stat": r["adf_stat"],
-        "p_value": r["p_value"], "used_lag": r["used_lag"], "nobs": r["nobs"],
-        "crit_1pct": c["1%"], "crit_5pct": c["5%"], "crit_10pct": c["10%"],
-        "ic_best": r["ic_best"],
-        # The null of a unit root is rejected when the statistic is below the value.
-        "stationary_1pct": r["adf_stat"] < c["1%"],
-        "stationary_5pct": r["adf_stat"] < c["5%"],
-        "stationary_10pct": r["adf_stat"] < c["10%"],
-    }])
+    def add(factor: Column, row: Column) -> Column:
+        def diagonal(done: Column) -> Column:
+            own = F.element_at(row, F.size(row))
+            return let(own - dot(done, done), lambda left: F.array_append(
+                done, F.when(left > own * _TINY, F.sqrt(left))))
+        return F.array_append(factor, let(F.aggregate(factor, F.array().cast("array<double>"), lambda done, above: entry(done, above, row)), diagonal))
+
+    return F.aggregate(rows, F.array().cast("array<array<double>>"), add)
+
+
+def _lagged(y: Column, p: Column, level_last: bool) -> Column:
+    """Regressors 1, y_(t-1) and the ``p`` differences before t, and dy_t, as columns over the
+    sample that ``p`` lags leave. ``level_last`` puts y_(t-1) behind the differences."""
+    n = F.size(y)
+    size = n - 1 - p
 
+    def build(dy: Column) -> Column:
+        shifted = F.transform(F.sequence(F.lit(0), p), lambda j: F.slice(dy, p + 1 - j, size))  # dy_t, dy_(t-1) ...
+        ones, level = F.array(F.array_repeat(F.lit(1.0), size)), F.array(F.slice(y, p + 1, size))
 
-def adf_test(series: DataFrame) -> DataFrame:
-    """T5+T6 for every series of a (series_id, idx, y) frame."""
-    return (series.select("series_id", "idx", "y")
-                  .groupBy("series_id").applyInPandas(_adf_group, ADF_SCHEMA))
+        def order(s: Column) -> Column:
+            lags = F.slice(s, 2, p)
+            return F.concat(ones, *([lags, level] if level_last else [level, lags]), F.array(F.element_at(s, 1)))
+        return let(shifted, order)
 
+    return let(F.zip_with(F.slice(y, 2, n - 1), F.slice(y, 1, n - 1), lambda b, a: b - a), build)
 
-# The group functions above run in Python workers, which need not have this
-# package on their path (e.g. a driver importing it from a checkout): ship
-# this module's functions with the tasks, by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+def _fit(y: Column, p: Column, level_last: bool) -> Column:
+    return let(_lagged(y, p, level_last), lambda c: cholesky(gram(c)))
+
+
+def _choose(factor: Column, size: Column) -> Column:
+    """(aic, lag) of the best lag, from the factor's last row: lag p has 2 + p regressors."""
+    def best(last: Column) -> Column:
+        # Squares left after k regressors: the last entry's, and those of the entries behind the k-th.
+        left = lambda k: let(F.slice(last, k + 1, F.size(last) - k), lambda r: dot(r, r))
+        score = lambda k: size * (math.log(2 * math.pi) + F.log(left(k) / size) + 1) + 2 * k
+        lags = F.transform(F.sequence(F.lit(2), F.size(last) - 1), lambda k: F.struct(score(k).alias("aic"), (k - 2).alias("lag")))
+        return F.array_min(F.filter(lags, lambda s: s["aic"].isNotNull()))
+    return let(F.element_at(factor, -1), best)
+
+
+def adf_test(series: DataFrame, max_lag: int | None = None) -> DataFrame:
+    """T5+T6 for every series of a (series_id, idx, y) frame; NULL and NaN values are left out.
+
+    Columns: series_id, adf_stat, p_value, used_lag, nobs, crit_1pct, crit_5pct, crit_10pct,
+    ic_best, stationary_1pct, stationary_5pct, stationary_10pct, reason (NULL with a statistic).
+    """
+    value = F.when(~F.isnan("y"), F.col("y").cast("double"))
+    days = series.groupBy("series_id").agg(F.sort_array(F.collect_list(F.when(value.isNotNull(), F.struct("idx", value.alias("y"))))).alias("days"))
+    # A shift changes neither the statistic nor the fits (there is a constant), but saves digits.
+    shifted = let(F.transform("days", lambda d: d["y"]), lambda y: let(
+        dot(y, F.transform(y, lambda _: F.lit(1.0))) / F.greatest(F.size(y), F.lit(1)), lambda m: F.transform(y, lambda v: v - m)))
+    n = F.size("y")
+    wanted = F.lit(max_lag) if max_lag is not None else F.ceil(12.0 * F.pow(n / 100.0, F.lit(0.25))).cast("int")
+    top = F.least(F.floor(n / 2).cast("int") - 2, wanted)
+    rows = days.select("series_id", shifted.alias("y")).withColumn("top", top)
+    rows = rows.withColumn("best", F.when(F.col("top") >= 0, let(F.col("y"), lambda y: let(
+        F.col("top"), lambda p: _choose(_fit(y, p, False), F.size(y) - 1 - p)))))
+    lag = F.col("best.lag")
+    rows = rows.withColumn("last", F.when(lag.isNotNull(), let(F.col("y"), lambda y: let(
+        lag, lambda p: F.slice(_fit(y, p, True), p + 2, 2)))))
+    level, target = F.element_at("last", 1), F.element_at("last", 2)
+    left, z = F.element_at(target, -1), F.element_at(target, -2)
+    nobs = F.size("y") - 1 - lag
+    stat = F.when(F.element_at(level, -1).isNotNull(), z / (left / F.sqrt((nobs - lag - 2).cast("double"))))
+    rows = rows.select("series_id", "top", "best", "y", nobs.cast("bigint").alias("nobs"), stat.alias("adf_stat"))
+    reason = (F.when(F.col("top") < 0, "too few values for the ADF test")
+               .when(F.array_max("y") == F.array_min("y"), "the series is constant")
+               .when(F.col("adf_stat").isNull(), "the regressors fit the differences without error, or follow from each other"))
+    crit = {k: F.when(F.col("adf_stat").isNotNull(), mackinnon_crit(F.col("nobs"), k)) for k in CRITICAL_2010}
+    found = lambda c: F.when(F.col("adf_stat").isNotNull(), c)
+    return rows.select(
+        "series_id", "adf_stat", mackinnon_p(F.col("adf_stat")).alias("p_value"), found(F.col("best.lag")).cast("bigint").alias("used_lag"),
+        found(F.col("nobs")).alias("nobs"), *[c.alias(f"crit_{k[:-1]}pct") for k, c in crit.items()],
+        found(F.col("best.aic")).alias("ic_best"),
+        # The null of a unit root is rejected when the statistic is below the value.
+        *[(F.col("adf_stat") < c).alias(f"stationary_{k[:-1]}pct") for k, c in crit.items()], reason.alias("reason"))

@@ -1,4 +1,4 @@
-"""ADF and SARIMA on simulated series with known structure."""
+"""SARIMA on simulated series with known structure."""
 
 import datetime as dt
 import math
@@ -6,45 +6,7 @@ import math
 import numpy as np
 import pytest
 
-from salesmart.operators import forecast, stationarity
-
-
-def test_mackinnon_p_at_critical_values():
-    crit = stationarity.CRITICAL_2010
-    assert stationarity.mackinnon_p(crit["1%"][0]) == pytest.approx(0.01, abs=0.002)
-    assert stationarity.mackinnon_p(crit["5%"][0]) == pytest.approx(0.05, abs=0.003)
-    assert stationarity.mackinnon_p(crit["10%"][0]) == pytest.approx(0.10, abs=0.005)
-    assert stationarity.mackinnon_p(-30) == 0.0 and stationarity.mackinnon_p(3.0) == 1.0
-
-
-def test_adf_lag0_equals_plain_regression():
-    rng = np.random.default_rng(0)
-    x = np.cumsum(rng.normal(size=300))
-    r = stationarity.adf(x, maxlag=0)
-    dy, ylag = np.diff(x), x[:-1]
-    X = np.column_stack([np.ones_like(ylag), ylag])
-    beta, res, *_ = np.linalg.lstsq(X, dy, rcond=None)
-    s2 = res[0] / (len(dy) - 2)
-    t = beta[1] / math.sqrt(s2 * np.linalg.inv(X.T @ X)[1, 1])
-    assert r["adf_stat"] == pytest.approx(t) and r["used_lag"] == 0 and r["nobs"] == 299
-
-
-def test_adf_separates_noise_from_random_walk():
-    rng = np.random.default_rng(1)
-    noise = stationarity.adf(rng.normal(size=500))
-    walk = stationarity.adf(np.cumsum(rng.normal(size=500)))
-    assert noise["p_value"] < 0.01 and noise["adf_stat"] < noise["crit"]["1%"]
-    assert walk["p_value"] > 0.05
-
-
-def test_adf_picks_lags_for_ar2_differences():
-    rng = np.random.default_rng(2)
-    e = rng.normal(size=800)
-    d = np.zeros(800)
-    for t in range(2, 800):
-        d[t] = 0.5 * d[t - 1] - 0.3 * d[t - 2] + e[t]
-    r = stationarity.adf(np.cumsum(d))
-    assert r["used_lag"] >= 2 and r["p_value"] > 0.05
+from salesmart.operators import forecast
 
 
 def _ar1(n, phi, seed):
@@ -106,8 +68,6 @@ def test_spark_operators_end_to_end(spark):
     # Zero-mean series: like the reference's model, ours has no constant term.
     y = _ar1(300, 0.5, 7)
     df = _series_frame(spark, y).unionByName(_series_frame(spark, _ar1(300, 0.2, 8), "t"))
-    adf = {r.series_id: r for r in stationarity.adf_test(df).collect()}
-    assert set(adf) == {"s", "t"} and adf["s"].stationary_5pct
     coefs = forecast.sarima_coefficients(df, (1, 0, 0), (0, 0, 0, 12)).collect()
     phi = {r.series_id: r.coef for r in coefs if r.term == "ar.L1"}
     assert phi["s"] == pytest.approx(0.5, abs=0.15)
@@ -136,3 +96,12 @@ def test_grid_scores_every_order_on_the_same_sample():
     assert start == 26
     n = {forecast.fit_sarima(y, g[:3], g[3:], score_from=start)["n_eff"] for g in grid[:8] + grid[-8:]}
     assert n == {400 - start}
+
+
+def test_a_series_that_cannot_be_fitted_is_a_row_and_fails_no_other(spark):
+    df = (_series_frame(spark, _ar1(300, 0.5, 7)).unionByName(_series_frame(spark, _ar1(10, 0.5, 7), "short"))
+          .unionByName(_series_frame(spark, [], "none")).unionByName(spark.sql("SELECT 'nulls' AS series_id, DATE'2020-01-01' AS ds, 0L AS idx, CAST(NULL AS DOUBLE) AS y")))
+    for out in (forecast.sarima_coefficients(df), forecast.sarima_predict(df), forecast.sarima_forecast(df, 7)):
+        rows = out.collect()
+        assert {r.series_id for r in rows if r.error} == {"short", "nulls"} and len([r for r in rows if r.error]) == 2
+        assert {r.series_id for r in rows if r.error is None} == {"s"}
