@@ -27,15 +27,15 @@ def parse_dates(raw: DataFrame, cols=("order_date", "ship_date"),
     return raw
 
 
-def project_ods(df: DataFrame) -> DataFrame:
-    """The 17 ODS columns in contract order, cast to contract types.
+def project_ods(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 17 ODS columns in contract order, cast to contract types (and those to ``keep``).
 
     Ids are text. ``try_cast``: a malformed number becomes NULL instead of
     failing the whole load under ANSI mode; the jobs send such rows to a
     reject table.
     """
     types = {f.name: f.dataType for f in ODS_SCHEMA.fields}
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in ODS_COLUMNS])
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) for c in ODS_COLUMNS], *keep)
 
 
 def fill_postal_code(df: DataFrame, value: int = DEFAULT_POSTAL_CODE) -> DataFrame:
@@ -75,16 +75,16 @@ def fill_postal_by_city(df: DataFrame, lookup: DataFrame | None = None) -> DataF
               .select(*df.columns))
 
 
-def records_to_ods(records: DataFrame) -> DataFrame:
-    """API records (header-named fields) -> typed ODS columns."""
+def records_to_ods(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """API records (header-named fields) -> typed ODS columns, and those to ``keep`` as they are."""
     back = {v: k for k, v in HEADER_NAMES.items()}
     cols = [F.col(f"`{f.name}`").alias(back[f.name]) for f in API_RECORD_SCHEMA.fields]
-    df = records.select(*cols)
+    df = records.select(*cols, *keep)
     # ISO dates; malformed text becomes NULL instead of failing the load.
     df = df.withColumn("order_date", parse_text_date("order_date", "yyyy-MM-dd")) \
            .withColumn("ship_date", parse_text_date("ship_date", "yyyy-MM-dd")) \
            .withColumn("postal_code", F.col("postal_code").try_cast("double").try_cast("int"))
-    return project_ods(df)
+    return project_ods(df, keep)
 
 
 def is_bad(corrupt: str) -> Column:

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from salesmart.operators import cleanse
 from salesmart.plans.cleansing import INCREMENT_DAY, REDELIVERY_FROM, REDELIVERY_TO, not_yet_delivered
+from salesmart.plans.deliveries import corrected
 from salesmart.plans.registry import ORACLES, query, with_sales
 from salesmart.schema import ODS_COLUMNS
 from salesmart.session import scratch_path
 from salesmart.sources import files
 from salesmart.sources.star import sales_view
 from salesmart.sources.tables import Tables
-from salesmart.streaming import ingest
+from salesmart.streaming import deliveries, ingest
 
 _ODS_LIST = ", ".join(ODS_COLUMNS)
 STREAM_DAY = "2024-01-05"
@@ -84,6 +85,31 @@ def stream_sales_ods(t: Tables) -> DataFrame:
     return t.spark.read.schema(day.schema).parquet(out).select(*ODS_COLUMNS)
 
 
+@query("stream_last_delivery")
+def stream_last_delivery(t: Tables) -> DataFrame:
+    """X1 + U1 as a stream: a week delivered five times, out of order and with a restart in between,
+    replaces its days of the archive as its last delivery has them."""
+    s = sales_view(t)
+    week = s.where(F.col("order_date").between(F.lit(REDELIVERY_FROM).cast("date"), F.lit(REDELIVERY_TO).cast("date")))
+    feed, lines, ledger, ckpt = (scratch_path(t.spark, f"last-delivery-{x}") for x in ("feed", "lines", "ledger", "ckpt"))
+    landed = scratch_path(t.spark, "delivery")
+    week.write.parquet(landed)
+    week = t.spark.read.schema(week.schema).parquet(landed)
+    # The faulty weeks are 1 and 2; 2 lands behind 3, and 4 brings some days of it again.
+    some = week.where(F.col("order_date") > F.lit(INCREMENT_DAY).cast("date"))
+    for wave in (((1, corrected(week)), (3, week)), ((2, corrected(week)), (4, some), (5, some))):
+        for number, sent in wave:
+            deliveries.write_delivery(sent, feed, number, f"1998-03-1{number} 06:00:00")
+        typed = deliveries.delivery_lines(deliveries.delivery_feed(t.spark, feed))
+        ingest.run_to_parquet(typed.drop(deliveries.DELIVERED), lines, f"{ckpt}/lines", partition_by=["order_date", deliveries.DELIVERY])
+        deliveries.run_ledger(deliveries.latest_deliveries(typed), ledger, f"{ckpt}/ledger")
+    archive = s.where(~not_yet_delivered())
+    return cleanse.replace_days(archive, deliveries.current_lines(t.spark, lines, ledger))
+
+
+ORACLES["stream_last_delivery"] = ORACLES["ods_replace_days"]
+
+
 @query("stream_dedupe", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_dedupe(t: Tables) -> DataFrame:
     """Every event delivered twice; the watermark-bounded dedupe keeps one."""
