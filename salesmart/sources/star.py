@@ -69,6 +69,16 @@ def sales_view(tables: Tables, columns: list[str] | None = None,
     return df.select(*[_EXPR[c][1]() for c in columns])
 
 
+def with_dimensions(lines: DataFrame, tables: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The flat sales columns of lines that already carry their order's columns (batch or stream),
+    and those to ``keep``. Lines without an order keep their row."""
+    customers = (tables.customer.join(tables.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+                 .join(tables.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    df = lines.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").join(
+        tables.part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return df.select(*[_EXPR[c][1]() for c in ODS_COLUMNS], *keep)
+
+
 def _order_dimension(tables: Tables, need: set) -> DataFrame:
     """orders with the customer / nation / region attributes ``need`` asks for.
 
