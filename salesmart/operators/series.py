@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.functions.normal import norm_pdf, norm_quantile
 from salesmart.functions.numeric import money_mean
 
 DEFAULT_SERIES = "all"
@@ -209,6 +210,43 @@ def histogram(series: DataFrame, column: str = "resid", bins: int = 10) -> DataF
         F.count(F.lit(1)).alias("n"))
 
 
+def standardised(series: DataFrame, column: str = "resid") -> DataFrame:
+    """The non-null values of ``column`` less their mean, over their sample deviation: series_id, idx, z
+    and n (values). A series without spread, or with one value, has no rows."""
+    whole = Window.partitionBy("series_id")
+    x = series.where(F.col(column).isNotNull()).select("series_id", "idx", F.col(column).cast("double").alias("x"))
+    x = x.withColumn("std", F.stddev_samp("x").over(whole)).withColumn("mean", F.avg("x").over(whole))
+    return x.where("std > 0").select("series_id", "idx", ((F.col("x") - F.col("mean")) / F.col("std")).alias("z"),
+                                     F.count(F.lit(1)).over(whole).alias("n"))
+
+
+def normal_qq(series: DataFrame, column: str = "resid") -> DataFrame:
+    """Normal Q-Q of the standardised ``column``: place i of n in rising order, the normal
+    quantile of i / (n + 1), and the value there. Equal values follow the days."""
+    z = standardised(series, column)
+    place = F.row_number().over(Window.partitionBy("series_id").orderBy("z", "idx")).cast("bigint")
+    return z.withColumn("place", place).select("series_id", "place", norm_quantile(F.col("place") / (F.col("n") + 1)).alias("theoretical"),
+                                               F.col("z").alias("sample"))
+
+
+def kernel_density(series: DataFrame, column: str = "resid", bins: int = 512, points: int = 64) -> DataFrame:
+    """Estimated density of the standardised ``column`` at ``points`` places, with a normal kernel of
+    width n^(-1/5) (Scott's rule). Values are counted in ``bins`` first, so the sum runs over bins, not
+    days: at most bins x points terms per series, spread over tasks."""
+    z = standardised(series, column)
+    ends = z.groupBy("series_id").agg(F.min("z").alias("low"), F.max("z").alias("high"), F.first("n").alias("n"))
+    ends = ends.withColumn("h", F.pow(F.col("n").cast("double"), F.lit(-0.2))).withColumn("width", (F.col("high") - F.col("low")) / bins)
+    bin_ = F.least(F.floor((F.col("z") - F.col("low")) / F.col("width")), F.lit(bins - 1).cast("bigint"))
+    held = z.select("series_id", "z").join(ends, "series_id").groupBy("series_id", "low", "high", "n", "h", "width", bin_.alias("bin")).agg(
+        F.count(F.lit(1)).alias("m"))
+    centre = F.col("low") + (F.col("bin") + 0.5) * F.col("width")
+    first, step = F.col("low") - 3 * F.col("h"), (F.col("high") - F.col("low") + 6 * F.col("h")) / (points - 1)
+    spots = held.withColumn("centre", centre).withColumn("first", first).withColumn("step", step).withColumn(
+        "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("z", F.col("first") + F.col("point") * F.col("step"))
+    share = F.col("m") * norm_pdf((F.col("z") - F.col("centre")) / F.col("h")) / (F.col("n") * F.col("h"))
+    return spots.groupBy("series_id", F.col("point").cast("bigint").alias("point"), "z").agg(F.sum(share).alias("density"))
+
+
 def dickey_fuller_lag0(series: DataFrame) -> DataFrame:
     """T5 with no augmentation lags: OLS of dy_t on (1, y_(t-1)).
 

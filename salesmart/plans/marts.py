@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.operators import geo, marts
-from salesmart.plans.registry import query, with_sales
-from salesmart.sources.star import star_sum
+from salesmart.operators import geo, marts, topk
+from salesmart.plans.registry import ORACLES, query, with_sales
+from salesmart.sources.star import sales_view, star_sum
 from salesmart.sources.tables import Tables
 
 _SUM = "COALESCE(CAST(SUM(CAST(sales AS DECIMAL(18,4))) AS DOUBLE), 0.0)"
@@ -45,6 +45,16 @@ for _name in marts.MARTS:
     _register_mart(_name)
 
 
+@query("top_customers_threshold")
+def top_customers_threshold(t: Tables) -> DataFrame:
+    """O2 + A1: the top-20 customers of the flat lines, by threshold rounds."""
+    spec = marts.MARTS["top_customers"]
+    return topk.top_n(sales_view(t, [*spec["keys"], "sales"]), spec["keys"], spec["k"], spec["post"])
+
+
+ORACLES["top_customers_threshold"] = ORACLES["top_customers"]
+
+
 @query("top_sub_categories_all", with_sales(f"""
 SELECT category, CAST(SUM(v) AS BIGINT) AS sales FROM (
   SELECT category, CAST(trunc(s) AS BIGINT) AS v FROM (

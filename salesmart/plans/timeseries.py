@@ -147,6 +147,50 @@ def residual_histogram(t: Tables) -> DataFrame:
     return ts.histogram(res)
 
 
+_STD_SQL = _SERIES_SQL + """
+, r AS (SELECT series_id, idx, y - lag(y, 7) OVER (ORDER BY idx) AS x FROM di)
+, z AS (SELECT series_id, idx, (x - AVG(x) OVER ()) / stddev_samp(x) OVER () AS z, COUNT(*) OVER () AS n FROM r WHERE x IS NOT NULL)"""
+
+
+def _cdf(z: str) -> str:
+    return (f"(0.5 + exp(-{z} * {z} / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 100), "
+            f"lambda k: power({z}, 2 * k + 1) * sqrt(pi()) / (power(2.0, k + 1) * gamma(k + 1.5)))))")
+
+
+def _newton(i: int) -> str:
+    return f", q{i + 1} AS (SELECT *, x{i} - ({_cdf(f'x{i}')} - p) / (exp(-x{i} * x{i} / 2) / sqrt(2 * pi())) AS x{i + 1} FROM q{i})"
+
+
+@query("residual_qq", with_sales(_STD_SQL + """
+, o AS (SELECT series_id, z, row_number() OVER (ORDER BY z, idx) AS place, n FROM z)
+, q0 AS (SELECT *, place / (n + 1) AS p, 4.91 * (power(place / (n + 1), 0.14) - power(1 - place / (n + 1), 0.14)) AS x0 FROM o)"""
+    + "".join(map(_newton, range(5))) + f"""
+SELECT series_id, CAST(place AS BIGINT) AS place, {_r4('x5')} AS theoretical, {_r4('z')} AS sample FROM q5"""))
+def residual_qq(t: Tables) -> DataFrame:
+    """Normal Q-Q of the standardised seasonal-naive residuals."""
+    res = ts.seasonal_naive(_series(t), 7).withColumn("resid", F.col("y") - F.col("yhat"))
+    return ts.normal_qq(res).select("series_id", "place", round4("theoretical").alias("theoretical"), round4("sample").alias("sample"))
+
+
+@query("residual_density", with_sales(_STD_SQL + f"""
+, e AS (SELECT min(z) AS low, max(z) AS high, (max(z) - min(z)) / 512 AS width, any_value(n) AS n, power(any_value(n), -0.2) AS h FROM z)
+, b AS (SELECT series_id, low + (least(floor((z - low) / width), 511) + 0.5) * width AS centre, COUNT(*) AS m FROM z, e GROUP BY ALL)
+, g AS (SELECT CAST(range AS BIGINT) AS point, low - 3 * h + range * ((high - low + 6 * h) / 63) AS spot, n, h FROM range(64), e)
+SELECT series_id, point, {_r4('spot')} AS z, {_r4('SUM(m * exp(-power((spot - centre) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi()))')} AS density
+FROM b, g GROUP BY series_id, point, spot"""))
+def residual_density(t: Tables) -> DataFrame:
+    """Estimated density of the standardised seasonal-naive residuals at 64 places."""
+    res = ts.seasonal_naive(_series(t), 7).withColumn("resid", F.col("y") - F.col("yhat"))
+    return ts.kernel_density(res).select("series_id", "point", round4("z").alias("z"), round4("density").alias("density"))
+
+
+@query("residual_standardised", with_sales(_STD_SQL + f"SELECT series_id, idx, {_r4('z')} AS z FROM z"))
+def residual_standardised(t: Tables) -> DataFrame:
+    """The standardised seasonal-naive residuals, day by day."""
+    res = ts.seasonal_naive(_series(t), 7).withColumn("resid", F.col("y") - F.col("yhat"))
+    return ts.standardised(res).select("series_id", "idx", round4("z").alias("z"))
+
+
 @query("dickey_fuller_lag0", with_sales(_SERIES_SQL + f"""
 , d AS (SELECT series_id, y - lag(y) OVER (ORDER BY idx) AS dy, lag(y) OVER (ORDER BY idx) AS ylag FROM di)
 , g AS (SELECT series_id, regr_count(dy, ylag) AS nobs, regr_sxx(dy, ylag) AS sxx, regr_sxy(dy, ylag) AS sxy,

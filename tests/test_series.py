@@ -106,3 +106,26 @@ def test_series_keys_never_collide(spark):
     df = spark.createDataFrame([(a, b, day, v) for a, b, v in rows], "a string, b string, order_date date, sales double")
     got = {r.series_id: r.y for r in ts.daily_mean(df, series_cols=["a", "b"]).collect()}
     assert sorted(got.values()) == [1.0, 2.0, 4.0, 9.0]
+
+
+def test_residual_diagnostics_against_numpy(spark):
+    from statistics import NormalDist
+    rng = np.random.default_rng(5)
+    series = {"a": rng.normal(3, 2, 400), "b": np.repeat(rng.normal(size=30), 10), "hot": np.r_[np.zeros(200), rng.normal(size=100)],
+              "flat": np.full(20, 4.0), "one": [1.0]}
+    rows = [(k, i, float(v)) for k, x in series.items() for i, v in enumerate(x)] + [("a", 9999, None), ("none", 0, None)]
+    df = spark.createDataFrame(rows, "series_id string, idx bigint, resid double").repartition(4)
+    qq, density = ts.normal_qq(df).collect(), ts.kernel_density(df).collect()
+    assert {r.series_id for r in qq} == {r.series_id for r in density} == {"a", "b", "hot"}
+    for name in ("a", "b", "hot"):
+        z = np.sort((series[name] - np.mean(series[name])) / np.std(series[name], ddof=1))
+        got = sorted((r.place, r.theoretical, r.sample) for r in qq if r.series_id == name)
+        assert [g[0] for g in got] == list(range(1, len(z) + 1))
+        assert np.allclose([g[1] for g in got], [NormalDist().inv_cdf(i / (len(z) + 1)) for i in range(1, len(z) + 1)])
+        assert np.allclose([g[2] for g in got], z)
+        h = len(z) ** -0.2
+        for r in density:  # unbinned kernel sums: bins move values by half a bin at most
+            if r.series_id == name:
+                want = np.exp(-((r.z - z) / h) ** 2 / 2).mean() / (h * np.sqrt(2 * np.pi))
+                assert abs(r.density - want) < 0.01
+    assert ts.normal_qq(df.limit(0)).count() == ts.kernel_density(df.limit(0)).count() == 0
