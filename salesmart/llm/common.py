@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 from collections.abc import Callable, Iterator
@@ -79,6 +80,25 @@ def resident(name: str, make: Callable):
     return cache[name]
 
 
+def vacate() -> None:
+    """Give back what earlier stages left in this worker: the resident thing and freed memory."""
+    sys.__dict__.setdefault("_salesmart_resident", {}).clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Send at most ``rows`` rows a batch to the session's Python workers: Spark builds a batch whole on
+    both sides, so of documents of some kilobytes the default of 10,000 takes tens of megabytes a task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, rows)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id and the text (null: empty), under fixed names: extra columns and
     clashing names in ``docs`` never reach an operator."""

@@ -12,8 +12,13 @@ number) of labelled rows that are not held out; it is the only thing on the
 driver. Every letter of the sample has a code of its own. Each worker builds the
 automata once, as one sparse table (rows of transitions laid into each other's
 gaps; memory follows the letters learned), and steps all texts of a slice
-through all languages together. Whole texts are parsed, in stretches of
-``STRETCH`` letters, so one very long text is many lanes.
+through all languages together. Whole texts are parsed; stretches of ``STRETCH``
+letters run side by side, so one very long text is many lanes, and the state is
+carried from each into the next, so the phrases are those of one parse.
+
+Memory of a worker: about 70 bytes for every letter learned, that is 4 MB a
+language (of 60,000 characters), and the states of a slice of texts, 6 bytes a
+letter and language. With L languages the closure holds L samples of 60 KB and up.
 
 Letters are lower-cased; runs of anything else are one separator. Null text or
 one without letters is ``und`` with score 0, as is everything if no row is
@@ -37,6 +42,8 @@ from salesmart.llm.common import id_and_text, per_process, resident, slices
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 300, 60_000
 PIECES = 8
 STRETCH = 512
+SLICE_BYTES = 1 << 20
+FEW = 16  # stretches that are stepped one by one rather than together
 _CODE_BITS = 21
 UNKNOWN = "und"
 
@@ -144,23 +151,97 @@ class Model:
         text_of = np.repeat(np.arange(len(texts)), counts)
         first = np.arange(len(text_of)) - np.repeat(np.cumsum(counts) - counts, counts)
         size = np.minimum(STRETCH, lengths[text_of] - first * STRETCH)
-        order = np.argsort(-size, kind="stable")
-        size, begin = size[order], (np.repeat(np.cumsum(lengths) - lengths, counts) + first * STRETCH)[order]
+        begin = np.repeat(np.cumsum(lengths) - lengths, counts) + first * STRETCH
         flat = np.concatenate([*codes, np.zeros(STRETCH, np.int32)])
-        phrases = np.zeros((len(self.languages), len(size)), np.int32)
-        state = np.repeat(np.array(self.roots, np.int64)[:, None], len(size), axis=1)
-        for t in range(int(size[0]) if len(size) else 0):
-            n = int(np.searchsorted(-size, -t, side="left"))
-            letter = flat[begin[:n] + t]
-            entry = self.table[state[:, :n] + letter]
-            begins = (entry & ((1 << _CODE_BITS) - 1)) != letter  # a letter that begins a phrase
-            phrases[:, :n] += begins
-            state[:, :n] = np.where(begins, self.starts[:, letter], entry >> _CODE_BITS)
+        phrases = self._phrases(flat, begin, size, first > 0)
         total = np.zeros((len(self.languages), len(texts)))
         for i in range(len(self.languages)):
-            total[i] = np.bincount(text_of[order], weights=phrases[i], minlength=len(texts)) * self.bits[i]
+            total[i] = np.bincount(text_of, weights=phrases[i], minlength=len(texts)) * self.bits[i]
         return total / np.maximum(1, lengths), real
 
+    def _step(self, state: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after ``letter``, and where it begins a phrase."""
+        entry = self.table[state + letter]
+        begins = (entry & ((1 << _CODE_BITS) - 1)) != letter
+        return np.where(begins, self.starts[:, letter], entry >> _CODE_BITS), begins
+
+    def _alone(self, language: int, state: int, letters: list[int], kept: list[int]) -> tuple[int, bool, int, int]:
+        """One parse, letter by letter, until its state is the kept one: the state, whether that was
+        so, the phrases it began and the letters it took."""
+        table, starts, begun = memoryview(self.table), memoryview(self.starts[language]), 0
+        for n, (letter, other) in enumerate(zip(letters, kept, strict=True), 1):
+            entry = table[state + letter]
+            if entry & ((1 << _CODE_BITS) - 1) != letter:
+                begun += 1
+                state = starts[letter]
+            else:
+                state = entry >> _CODE_BITS
+            if state == other:
+                return state, True, begun, n
+        return state, False, begun, len(letters)
+
+    def _phrases(self, flat: np.ndarray, begin: np.ndarray, size: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        """(languages x stretches) phrases that begin in each stretch, when whole texts are parsed.
+
+        All stretches are parsed at once as if each began a text, keeping the state at every
+        letter. Where one follows another, the parse that comes in from there is stepped through it
+        until it meets the kept one in the same state: from then on they are the same parse. One that
+        doesn't meet it replaces the stretch's own and may change what the next one gets, which is
+        stepped again. So every text is parsed exactly as from its first letter on.
+        """
+        k, n, longest = len(self.languages), len(size), int(size.max(initial=0))
+        # In order of their lengths, so that the stretches still running at a step are the first ones.
+        order = np.argsort(-size, kind="stable")
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        before = place[np.maximum(order - 1, 0)]  # the stretch in front of each
+        behind = place[np.minimum(order + 1, n - 1)]
+        size, begin, after_one = size[order], begin[order], follows[order]
+        leads = np.append(follows[1:], False)[order] if n else follows
+        running = np.searchsorted(-size, -np.arange(longest), side="left")
+        states, counts = np.zeros((longest, k, n), np.int32), np.zeros((longest + 1, k, n), np.int16)
+        final = np.repeat(np.array(self.roots, np.int64)[:, None], n, axis=1)
+        count = np.zeros((k, n), np.int16)
+        for t, m in enumerate(running.tolist()):
+            final[:, :m], begins = self._step(final[:, :m], flat[begin[:m] + t])
+            states[t, :, :m] = final[:, :m]
+            count[:, :m] += begins
+            counts[t + 1] = count
+        total = count.astype(np.int64)
+        todo = np.flatnonzero(after_one)
+        while len(todo):  # rising, so longest first
+            now = final[:, before[todo]]
+            found, met = np.zeros((k, len(todo)), np.int64), np.zeros((k, len(todo)), bool)
+            live = np.arange(len(todo))
+            for t in range(int(size[todo[0]])):
+                # Those that go on and haven't met the kept parse in every language.
+                live = live[(size[todo[live]] > t) & ~met[:, live].all(axis=0)]
+                if len(live) <= FEW:
+                    for j in live.tolist():
+                        for i in np.flatnonzero(~met[:, j]).tolist():
+                            lane = int(todo[j])
+                            letters = flat[begin[lane] + t:begin[lane] + size[lane]].tolist()
+                            kept = states[t:size[lane], i, lane].tolist()
+                            now[i, j], met[i, j], more, steps = self._alone(i, int(now[i, j]), letters, kept)
+                            found[i, j] += more + (int(count[i, lane]) - int(counts[t + steps, i, lane]) if met[i, j] else 0)
+                    break
+                at = todo[live]
+                held, open_ = now[:, live], ~met[:, live]
+                stepped, begins = self._step(held, flat[begin[at] + t])
+                same = open_ & (stepped == states[t][:, at])
+                # What the kept parse counts behind this letter follows.
+                found[:, live] += (open_ & begins) + np.where(same, count[:, at] - counts[t + 1][:, at], 0)
+                now[:, live] = np.where(open_, stepped, held)
+                met[:, live] |= same
+            total[:, todo] = found
+            last = np.where(met, states[size[todo] - 1, :, todo].T, now)
+            changed = (last != final[:, todo]).any(axis=0)
+            final[:, todo] = last
+            # A changed end matters to the stretch behind it.
+            todo = todo[changed]
+            todo = np.sort(behind[todo[leads[todo]]])
+        return total[:, place]
+
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         if not self.languages or not texts:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -216,7 +297,7 @@ def predictions(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id"
     model = _predictor(samples)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", max_bytes=SLICE_BYTES):
             langs, scores = model().predict(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
@@ -232,7 +313,7 @@ def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     names = docs.columns
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_col):
+        for part in slices(batches, text_col, max_bytes=SLICE_BYTES):
             langs, _ = model().predict([t or "" for t in part.column(text_col).to_pylist()])
             part = part.set_column(names.index(lang_col), lang_col, pa.array(langs, pa.string()))
             yield part.filter(pa.compute.not_equal(part.column(names.index(lang_col)), UNKNOWN))

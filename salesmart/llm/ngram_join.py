@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import id_and_text, slices, written
+from salesmart.llm.common import id_and_text, slices, vacate, written
 from salesmart.llm.graphs import components
 from salesmart.llm.shingles import band_hashes, choose_bands, ngram_sets
 
@@ -104,6 +104,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     bands, rows = choose_bands(similarity, recall)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         for part in slices(batches, "text"):
             sets = ngram_sets(part.column("text").to_pylist(), words)
             some = [s for s in sets if len(s)]

@@ -72,12 +72,13 @@ def _handed(used: list[int], capacity: int, slack: int, spare: int) -> set[int]:
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
          end_id: int = 2, capacity: int = CAPACITY, slack: int = SLACK, spare: int = SPARE,
-         fan_in: int = FAN_IN) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+         fan_in: int = FAN_IN, cached_pieces: int = 600_000) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``cached_pieces``
+    bounds the encoder's cache."""
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, part = encoder(vocabulary), TaskContext.get().partitionId() << 40
+        enc, part = encoder(vocabulary, cached_pieces), TaskContext.get().partitionId() << 40
         doc_of, null_of, number, start, length, crc = [], [], [], [], [], []
         for rows in slices(batches, "text"):
             ids, edges = with_end(*enc.encode(rows.column("text").to_pylist()), end_id)

@@ -159,9 +159,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def encoder(path: str | None) -> Encoder:
-    """The worker's encoder for ``path`` (None: the public vocabulary as installed on the worker)."""
-    return resident(f"encoder {path}", lambda: Encoder(path or vocabulary_path()))
+def encoder(path: str | None, max_pieces: int = 600_000) -> Encoder:
+    """The worker's encoder for ``path`` (None: the public vocabulary as installed on the worker). Its
+    cache takes about 400 bytes a piece."""
+    return resident(f"encoder {path} {max_pieces}", lambda: Encoder(path or vocabulary_path(), max_pieces))
 
 
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

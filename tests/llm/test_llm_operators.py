@@ -243,23 +243,36 @@ def test_a_worker_holds_one_large_thing_at_a_time():
     assert resident("a", make("a")) == ["a"] and made == ["a", "b", "a"]
 
 
-def test_longest_match_phrases_against_search():
-    model = language.Model({"x": "abracadabra abra", "y": "mississippi miss"})
-    def phrases(text, sample):
-        n = i = 0
-        while i < len(text):
-            k = 1
-            while i + k < len(text) and text[i:i + k + 1] in sample:
-                k += 1
-            n, i = n + 1, i + k
-        return n
-    texts = ["abra miss", "issi cad q", "zzz", "a" * 700 + "b", ""]
-    bits, real = model.entropies(texts)
-    for k, sample in enumerate(["abracadabra abra", "mississippi miss"]):
-        for j, t in enumerate(texts):
-            n = sum(phrases(t[i:i + language.STRETCH], sample) for i in range(0, len(t), language.STRETCH))
-            assert bits[k][j] == pytest.approx(n * model.bits[k] / max(1, len(t)))
-    assert real.tolist() == [True, True, True, True, False]
+def _phrases(text, sample):
+    """Longest matches from the first letter on, by plain search."""
+    n = i = 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and text[i:i + k + 1] in sample:
+            k += 1
+        n, i = n + 1, i + k
+    return n
+
+
+def test_longest_match_phrases_against_search(monkeypatch):
+    samples = {"x": "abracadabra abra", "y": "mississippi miss", "z": "ab" * 40 + "ba" + "aab" * 20}
+    model = language.Model(samples)
+    r = random.Random(1)
+    texts = ["abra miss", "issi cad q", "zzz", "a" * 700 + "b", "", "ab" * 900, "b" + "ab" * 700 + "ba" * 300]
+    texts += ["".join(r.choice("abr") for _ in range(r.randrange(1, 3000))) for _ in range(20)]
+    # Stretches so short that parses from their starts often don't meet within one.
+    for stretch in (512, 7, 1):
+        monkeypatch.setattr(language, "STRETCH", stretch)
+        bits, real = model.entropies(texts)
+        for k, name in enumerate(model.languages):
+            for j, t in enumerate(texts):
+                assert bits[k][j] == pytest.approx(_phrases(t, samples[name]) * model.bits[k] / max(1, len(t)))
+        assert real.tolist() == [bool(t) for t in texts]
+
+
+def test_language_ties_go_to_the_first():
+    model = language.Model({"b": "same text here", "a": "same text here"})
+    assert model.predict(["same text", "here", ""]) == (["a", "a", "und"], [0.0, 0.0, 0.0])
 
 
 def test_language_shapes(docs, none, spark, data_dir):
