@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from salesmart.llm import hamming, language, main_text, mixing, neighbours, ngram_join, packing, pii, secrets, shingles, tokens, wavelet
+from salesmart.llm import hamming, language, main_text, mixing, neighbours, ngram_join, packing, secrets, shingles, tokens, wavelet
 from salesmart.session import scratch_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bin long, size string, rank int"
@@ -292,26 +292,6 @@ def test_language_shapes(docs, none, spark, data_dir):
     assert kept.columns == docs.columns and kept.where("doc_id in (3, 4, 5, 8)").count() == 0
 
 
-def test_base_personal_data_and_added_spans(docs, none):
-    got = {r["doc_id"]: r for r in _rows(pii.scan(docs))}
-    r, text = got[11], next(x["text"] for x in _rows(docs) if x["doc_id"] == 11)
-    assert [r[f"n_{k}"] for k in pii.BASE] == [1, 1, 1, 1]
-    found = {s.split(":")[0]: text[int(s.split(":")[1]):int(s.split(":")[2])] for s in r["spans"].split(",")}
-    assert found == {"email": "ann.b@example.org", "ip": "10.0.0.1", "card": "4111 1111 1111 1111", "phone": "+1 (269) 555-3296"}
-    assert pii.brute_base(text)[1] == r["base_sha256"]
-    assert got[3]["spans"] == "" and got[3]["base_sha256"] == hashlib.sha256(b"").hexdigest()
-    assert pii.base_spans("300.1.1.1 1.2.3.4.5 4111 1111 1111 1112 +12 3") == [(1, 10, 17)]
-    assert _rows(pii.scan(none)) == []
-
-
-def test_reliabilities_and_classifier_separate_good_from_bad():
-    counts = {("card", "11111"): 50, ("card", "10-1-"): 400, ("phone", "11111"): 60, ("phone", "01-0-"): 300, ("phone", "0111-"): 20}
-    posterior = pii.estimate(counts)
-    weights = pii.train(counts, posterior)
-    score = dict(zip(sorted(counts), pii._features(sorted(counts)) @ weights, strict=True))
-    assert score["card", "11111"] > score["card", "10-1-"] and score["phone", "11111"] > 0 > score["phone", "01-0-"]
-
-
 def test_secret_spans(docs, none, spark):
     got = {r["doc_id"]: r for r in _rows(secrets.scan(docs))}
     r, text = got[10], next(x["text"] for x in _rows(docs) if x["doc_id"] == 10)
