@@ -195,20 +195,51 @@ def test_neighbours_recall(vectors, spark):
     assert sorted((r["rank"], r["vec_id"]) for r in _rows(neighbours.nearest(few, lambda c: c == 0)))[0][0] == 1
 
 
-def test_hamming_search_is_exact(vectors):
-    codes = hamming.sign_codes(vectors)
-    every = sorted((r["vec_id"], r["code"]) for r in _rows(codes))
+def _hamming_exact(codes, k=10, every_nth=50):
+    every = sorted((r["vec_id"], tuple(w & (1 << 64) - 1 for w in r["code"])) for r in _rows(codes))
     got = collections.defaultdict(list)
-    for r in _rows(hamming.nearest(codes, codes["vec_id"] % 50 == 0)):
+    for r in _rows(hamming.nearest(codes, codes["vec_id"] % every_nth == 0, k)):
         got[r["query_id"]].append((r["rank"], r["vec_id"], r["distance"]))
     for q, code in every:
-        if q % 50 == 0:
-            want = sorted((bin((code ^ c) & (1 << 64) - 1).count("1"), i) for i, c in every if i != q)[:10]
+        if q % every_nth == 0:
+            want = sorted((sum((a ^ b).bit_count() for a, b in zip(code, c)), i) for i, c in every if i != q)[:k]
             assert sorted(got[q]) == [(n + 1, i, d) for n, (d, i) in enumerate(want)]
+
+
+def test_hamming_search_is_exact(vectors):
+    codes = hamming.sign_codes(vectors)
+    _hamming_exact(codes)
     assert _rows(hamming.nearest(codes.limit(0), codes["vec_id"] % 50 == 0)) == []
     assert len(_rows(hamming.nearest(codes.where("vec_id < 3"), codes["vec_id"] == 0))) == 2
 
 
+@pytest.mark.parametrize("width", [5, 128, 200])
+def test_hamming_codes_of_any_width(spark, width):
+    """Near copies, a code held by a third of all rows, short and null vectors; components 64 apart don't cancel."""
+    r, rows = random.Random(width), []
+    base = [[r.choice([-1.0, 1.0]) for _ in range(width)] for _ in range(6)]
+    for i in range(220):
+        v = list(base[0] if i % 3 == 0 else base[i % 6])
+        for j in range(0 if i % 3 == 0 else r.randrange(6)):
+            v[r.randrange(width)] *= -1
+        rows.append((i, [None, *v[1:]] if i == 7 else v[:width // 2] if i == 8 else None if i == 9 else v))
+    flipped = list(base[0])
+    flipped[0] *= -1
+    flipped[min(64, width - 1)] *= -1
+    df = spark.createDataFrame([*rows, (300, flipped), (None, flipped)], "vec_id long, embedding array<double>").repartition(3)
+    _hamming_exact(hamming.sign_codes(df), 5, 20)
+
+
+def test_segments_grow_with_the_number_of_codes():
+    for words in (1, 2, 4):
+        lengths = [hamming.segment_cuts(1 << b, words)[0][2] for b in range(1, 34, 2)]
+        # By and large: whole numbers of segments and of differing bits make it uneven.
+        assert all(b > a for a, b in zip(lengths, lengths[8:]))
+        for n in (0, 1, 1000):
+            cuts = hamming.segment_cuts(n, words)
+            assert sum(bits for *_, bits in cuts) == 64 * words and max(bits for *_, bits in cuts) <= hamming.LONGEST
+
+
 def test_mixture_targets_and_takes(docs, none):
     got = _rows(mixing.mix(docs))
     assert len(got) == docs.count() and all(r["taken"] <= 3 * r["size"] and r["size"] >= 0 for r in got)
