@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import money_sum, round4
-from salesmart.operators import cleanse, quality
+from salesmart.operators import cleanse, quality, sketches
 from salesmart.plans.registry import query, with_sales
 from salesmart.schema import ODS_COLUMNS, ODS_SCHEMA
 from salesmart.session import scratch_path
@@ -178,3 +178,47 @@ def postal_filled_rows(t: Tables) -> DataFrame:
     cols = ["order_id", "customer_id", "city", "state", "postal_code"]
     filled = cleanse.fill_postal_code(sales_view(t, cols))
     return quality.rows_with(filled, "postal_code", cleanse.DEFAULT_POSTAL_CODE)
+
+
+_SKETCHED, _COUNTED = ["sales", "ship_date"], ["city", "product_name"]
+
+
+def _sketch_sql() -> str:
+    number = {"sales": "sales", "ship_date": "date_diff('day', DATE '1970-01-01', ship_date)"}
+    parts = [f"SELECT '{c}' AS column_name, COUNT({c}) AS n, CAST(MIN({v}) AS DOUBLE) AS low, CAST(MAX({v}) AS DOUBLE) AS high, TRUE AS within FROM sales"
+             for c, v in number.items()]
+    return with_sales(" UNION ALL ".join(parts + [
+        f"SELECT '{c}', COUNT({c}), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), TRUE FROM sales" for c in _COUNTED]))
+
+
+@query("sketch_profile", _sketch_sql())
+def sketch_profile(t: Tables) -> DataFrame:
+    """A14/A15 from day sketches, stored and merged: exact counts and ends, and whether every estimate is
+    within its stated error of the exact answer over all lines."""
+    s = sales_view(t, ["order_date", *_SKETCHED, *_COUNTED])
+    path = scratch_path(t.spark, "day-sketches")
+    sketches.day_sketches(s, _SKETCHED, _COUNTED).write.parquet(path)
+    days = t.spark.read.parquet(path)
+    found = sketches.number_profile(days, _SKETCHED)
+    # The ranks that the estimates really have; twice the bound, since it holds with 99 % confidence.
+    value = {"sales": F.col("sales"), "ship_date": F.unix_date("ship_date")}
+    cells = s.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), v.cast("double").alias("v")) for c, v in value.items()])).alias("c"))
+    ranks = cells.select("c.of", "c.v").where("v IS NOT NULL").join(found, F.col("of") == F.col("column_name")).groupBy("column_name").agg(
+        F.max("n").alias("n"), F.max("low").alias("low"), F.max("high").alias("high"),
+        *[F.avg((F.col("v") < F.col(f"q{i}")).cast("double")).alias(f"under{i}") for i in range(3)],
+        *[F.avg((F.col("v") <= F.col(f"q{i}")).cast("double")).alias(f"upto{i}") for i in range(3)])
+    slack = 2 * sketches.rank_error()
+    near = F.lit(True)
+    for i, p in enumerate(sketches.QUANTILES):
+        near = near & (F.col(f"under{i}") <= p + slack) & (F.col(f"upto{i}") >= p - slack)
+    numbers = ranks.select("column_name", "n", "low", "high", near.alias("within"))
+    items = sketches.item_profile(days, _COUNTED, 3)
+    counts = s.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("item")) for c in _COUNTED])).alias("c")).select("c.*").where(
+        "item IS NOT NULL").groupBy("of", "item").agg(F.count(F.lit(1)).alias("m"))
+    truth = counts.groupBy("of").agg(F.count(F.lit(1)).alias("really"), F.max("m").alias("most"))
+    first = F.col("frequent")[0]
+    ok = (F.abs(F.col("different") - F.col("really")) <= 4 * sketches.distinct_error() * F.col("really")) & (
+        F.abs(first["count"] - F.col("most")) <= sketches.count_error() * F.col("n") + 1)
+    items = items.join(truth, F.col("column_name") == F.col("of")).select(
+        "column_name", "n", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"), ok.alias("within"))
+    return numbers.unionByName(items)
