@@ -25,7 +25,7 @@ from salesmart.operators import changes, cleanse, correlate, forecast, geo, mart
 from salesmart.operators import series as ts
 from salesmart.schema import ODS_SCHEMA
 from salesmart.session import materialize, scratch_path
-from salesmart.sources import files, sinks
+from salesmart.sources import files, landing, sinks
 
 CORR_DIMENSIONS = ("segment", "category", "ship_mode")
 
@@ -49,6 +49,11 @@ def changes_path(ods_path: str) -> str:
     return ods_path.rstrip("/") + "_changes"
 
 
+def landing_ledger_path(ods_path: str) -> str:
+    """The ledger of the API files that daily loads have read."""
+    return ods_path.rstrip("/") + "_landing"
+
+
 def run_delivery(spark: SparkSession, ods_path: str, marts_root: str, batch: int,
                  days: list[str] | None = None, out_root: str | None = None) -> dict[str, DataFrame]:
     """Marts after a delivery, from partial sums: ``days`` (None: all, for batch 0) of the ODS are
@@ -134,22 +139,22 @@ def run_daily(spark: SparkSession, landing_path: str, ods_path: str,
               as_of: _dt.date | str | None = None, multi_line: bool = True) -> int:
     """Landed API responses -> the day ``as_of`` (default today) replaces
     that day's partition in the ODS. Re-running the same day is idempotent.
-    Records that don't parse whole go to ``<ods_path>_rejects_api/api_day=...``;
+    Only files that landed since the last load are opened, and those known to hold the day
+    (``sources.landing``). Records that don't parse whole go to ``<ods_path>_rejects_api/api_day=...``,
+    with file and place;
     the lines that the delivery adds to the day or takes from it, to ``changes_path``."""
-    records = files.read_api_json(spark, landing_path, multi_line=multi_line)
     bad = cleanse.is_bad(files.CORRUPT)
     on = as_of.isoformat() if isinstance(as_of, _dt.date) else (as_of or _dt.date.today().isoformat())
-    records.where(bad).select(F.to_json(F.struct("*")).alias("record")).write.mode("overwrite").parquet(
-        f"{rejects_path(ods_path)}_api/api_day={on}")
+    records = landing.read_day(spark, landing_path, landing_ledger_path(ods_path), on, multi_line)
+    fields = [c for c in records.columns if c not in ("_file", "_block", "_row")]
+    landing.placed(records, bad, fields).write.mode("overwrite").parquet(f"{rejects_path(ods_path)}_api/api_day={on}")
     landed = materialize(cleanse.daily_increment(records.where(~bad), as_of))
     files.create_ods(spark, ods_path)
     archive = spark.read.schema(ODS_SCHEMA).parquet(ods_path).where(F.col("order_date") == F.lit(on).cast("date"))
     at = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     changes.change_set(archive, landed, kept=False).write.parquet(f"{changes_path(ods_path)}/api_day={on}/loaded_at={at}")
     files.write_ods(landed, ods_path, days_only=True)
-    return files.read_ods(spark, ods_path).where(
-        F.col("order_date") == F.lit(_dt.date.fromisoformat(as_of) if isinstance(as_of, str)
-                                     else (as_of or _dt.date.today()))).count()
+    return landed.count()
 
 
 def main(argv: list[str] | None = None) -> None:

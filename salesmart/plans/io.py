@@ -16,7 +16,7 @@ from salesmart.plans.deliveries import corrected
 from salesmart.plans.registry import ORACLES, query, with_sales
 from salesmart.schema import ODS_COLUMNS
 from salesmart.session import scratch_path
-from salesmart.sources import files
+from salesmart.sources import files, landing
 from salesmart.sources.star import sales_view
 from salesmart.sources.tables import Tables
 from salesmart.streaming import deliveries, ingest
@@ -43,6 +43,23 @@ def json_roundtrip(t: Tables) -> DataFrame:
     return cleanse.records_to_ods(files.read_api_json(t.spark, path, multi_line=False))
 
 
+@query("landed_day")
+def landed_day(t: Tables) -> DataFrame:
+    """S3 + P8 by the landing ledger: the feed's older files are entered when they land; the day's load
+    opens the files that landed since."""
+    folder, ledger = scratch_path(t.spark, "landed"), scratch_path(t.spark, "landed-ledger")
+    s = sales_view(t)
+    old = F.col("order_date") < F.lit(INCREMENT_DAY).cast("date")
+    files.write_api_json(s.where(old), folder)
+    landing.record_new(t.spark, folder, ledger, REDELIVERY_FROM, multi_line=False)
+    files.write_api_json(s.where(~old), folder, mode="append")
+    records = landing.read_day(t.spark, folder, ledger, INCREMENT_DAY, multi_line=False)
+    return cleanse.daily_increment(records.where(~cleanse.is_bad(files.CORRUPT)), INCREMENT_DAY)
+
+
+ORACLES["landed_day"] = ORACLES["daily_increment"]
+
+
 @query("ods_partitioned_load")
 def ods_partitioned_load(t: Tables) -> DataFrame:
     """K2 + U1 on files: archive loaded into day partitions, then a re-delivered

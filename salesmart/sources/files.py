@@ -53,8 +53,8 @@ def write_raw_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "overwri
     out.write.mode(mode).option("sep", sep).option("header", True).csv(path)
 
 
-def read_api_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """S3: landed API responses -> header-named record columns.
+def read_api_json(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """S3: landed API responses -> header-named record columns. ``path``: a folder, a file or several.
 
     ``multi_line=True`` reads files holding one JSON array of records (the
     API's format); ``False`` reads JSON lines. Text ids and numeric ids both
