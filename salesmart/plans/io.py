@@ -14,9 +14,9 @@ from salesmart.operators import cleanse
 from salesmart.plans.cleansing import INCREMENT_DAY, REDELIVERY_FROM, REDELIVERY_TO, not_yet_delivered
 from salesmart.plans.deliveries import corrected
 from salesmart.plans.registry import ORACLES, query, with_sales
-from salesmart.schema import ODS_COLUMNS
+from salesmart.schema import HEADER_NAMES, ODS_COLUMNS
 from salesmart.session import scratch_path
-from salesmart.sources import files, landing
+from salesmart.sources import files, inference, landing
 from salesmart.sources.star import sales_view
 from salesmart.sources.tables import Tables
 from salesmart.streaming import deliveries, ingest
@@ -43,6 +43,21 @@ def json_roundtrip(t: Tables) -> DataFrame:
     return cleanse.records_to_ods(files.read_api_json(t.spark, path, multi_line=False))
 
 
+# The types that the fixture's columns have as text.
+_TEXT_TYPES = {"order_id": "bigint", "order_date": "date_text", "ship_date": "date_text", "customer_id": "bigint", "postal_code": "bigint",
+               "product_id": "bigint", "sales": "decimal"}
+
+
+@query("csv_types", with_sales(" UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{HEADER_NAMES[c]}' AS column_name, '{_TEXT_TYPES.get(c, 'string')}' AS type, "
+    f"COUNT({c}) AS \"values\", CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS nulls FROM sales" for i, c in enumerate(ODS_COLUMNS))))
+def csv_types(t: Tables) -> DataFrame:
+    """Types of the sales as CSV text, found in one scan of the files."""
+    path = scratch_path(t.spark, "csv-types")
+    files.write_raw_csv(cleanse.to_raw_text(sales_view(t)), path)
+    return inference.column_types(t.spark, path).select("position", "column_name", "type", "values", "nulls")
+
+
 @query("landed_day")
 def landed_day(t: Tables) -> DataFrame:
     """S3 + P8 by the landing ledger: the feed's older files are entered when they land; the day's load
