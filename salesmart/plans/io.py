@@ -16,7 +16,7 @@ from salesmart.plans.deliveries import corrected
 from salesmart.plans.registry import ORACLES, query, with_sales
 from salesmart.schema import HEADER_NAMES, ODS_COLUMNS
 from salesmart.session import scratch_path
-from salesmart.sources import files, inference, landing
+from salesmart.sources import files, inference, landing, layout
 from salesmart.sources.star import sales_view
 from salesmart.sources.tables import Tables
 from salesmart.streaming import deliveries, ingest
@@ -43,6 +43,15 @@ def json_roundtrip(t: Tables) -> DataFrame:
     return cleanse.records_to_ods(files.read_api_json(t.spark, path, multi_line=False))
 
 
+@query("ods_clustered_load", with_sales(f"SELECT {_ODS_LIST} FROM sales"))
+def ods_clustered_load(t: Tables) -> DataFrame:
+    """The sales clustered on day, customer and product, read back."""
+    path, flat = scratch_path(t.spark, "clustered"), scratch_path(t.spark, "flat")
+    sales_view(t).write.parquet(flat)  # the sample and the write read the joined lines, not the join again
+    layout.write_clustered(t.spark.read.parquet(flat), path, ["order_date", "customer_name", "product_name"])
+    return t.spark.read.parquet(path)
+
+
 # The types that the fixture's columns have as text.
 _TEXT_TYPES = {"order_id": "bigint", "order_date": "date_text", "ship_date": "date_text", "customer_id": "bigint", "postal_code": "bigint",
                "product_id": "bigint", "sales": "decimal"}
