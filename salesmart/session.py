@@ -64,7 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if existing:
             _LOCAL_DIRS[app] = existing
         else:
-            if not sc.master.startswith("local["):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             path = tempfile.mkdtemp(prefix="salesmart-ckpt-")
             sc.setCheckpointDir(path)
