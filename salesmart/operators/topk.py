@@ -54,7 +54,10 @@ def local_sums(sales: DataFrame, keys: list[str], path: str, measure: str = "sal
         held, waiting, size = None, [], 0
 
         def fold() -> pa.Table:
-            parts = pa.concat_tables(([held] if held is not None else []) + [pa.Table.from_batches(waiting)])
+            # Spark's batches may say "not null" of a column, folded sums never do: one schema for both.
+            lines = pa.Table.from_batches(waiting).select([*keys, "total"])
+            lines = lines.cast(pa.schema([f.with_nullable(True) for f in lines.schema]))
+            parts = pa.concat_tables(([held] if held is not None else []) + [lines])
             summed = parts.group_by(keys).aggregate([("total", "sum")])
             return summed.select(keys).append_column("total", summed.column("total_sum").cast(kind))
 

@@ -57,3 +57,9 @@ def test_few_rows_are_shuffled(spark):
     assert all_rows > 200_000 and few.count() < 400 and fetched < 0.02 * all_rows
     top = topk.top_n(df, ["customer"], 20).collect()
     assert top == marts.top_n(df, ["customer"], 20).collect()
+
+
+def test_part_of_more_lines_than_a_fold(spark):
+    """One task folds its lines more than once; the sums come declared without NULLs."""
+    df = spark.range(0, 1_200_000, 1, 1).select(F.concat(F.lit("c"), F.col("id") % 50).alias("customer"), (F.col("id") % 7).cast("double").alias("sales"))
+    assert topk.top_n(df, ["customer"], 5).collect() == marts.top_n(df, ["customer"], 5).collect()
