@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from salesmart.schema import API_RECORD_SCHEMA, HEADER_NAMES, ODS_SCHEMA, RAW_SCHEMA, to_snake, with_headers
 
 CORRUPT = "_corrupt_record"
+FILE_RECORDS = 500_000
 
 
 def read_raw_csv(spark: SparkSession, path: str, sep: str = ";",
@@ -67,10 +68,11 @@ def read_api_json(spark: SparkSession, path: str | list[str], multi_line: bool =
 
 
 def write_api_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ODS rows as JSON lines keyed by the reference headers."""
+    """Write ODS rows as JSON lines keyed by the reference headers, gzipped: the headers in every record
+    make up most of the text. A gzip file has one reader, so no file holds more than ``FILE_RECORDS``."""
     cols = [F.col(c).cast("string").alias(HEADER_NAMES[c]) if c in ("order_date", "ship_date")
             else F.col(c).alias(HEADER_NAMES[c]) for c in df.columns]
-    df.select(*cols).write.mode(mode).json(path)
+    df.select(*cols).write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).json(path)
 
 
 def write_ods(df: DataFrame, path: str, mode: str = "overwrite",
