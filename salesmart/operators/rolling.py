@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators import marts
+from salesmart.session import materialize
 
 _DAY = "order_date"
 _ZERO = "decimal(38,4)"
@@ -77,7 +78,9 @@ def deliver(lines: DataFrame, root: str, batch: int, sets: list[list[str]] | Non
     before = _read(spark, root, "partials", list(range(batch)), new.schema)
     # Bounds go to the scan as literals, the exact days by a semi join.
     days = lines.select(_DAY).where(F.col(_DAY).isNotNull()).distinct()
-    span = days.agg(F.min(_DAY).alias("low"), F.max(_DAY).alias("high")).first()
+    if batch:
+        days = materialize(days)  # asked for twice
+        span = days.agg(F.min(_DAY).alias("low"), F.max(_DAY).alias("high")).first()
     if batch and span.low is not None:
         old = before.where(F.col(_DAY).between(F.lit(span.low), F.lit(span.high))).join(days, _DAY, "left_semi")
         new = new.unionByName(old.select(*by, *[(-F.col(c)).alias(c) for c in (measure, "n", "lines")]))

@@ -11,7 +11,7 @@ from salesmart.plans.marts import _SUM
 from salesmart.plans.registry import query, with_sales
 from salesmart.schema import ODS_COLUMNS
 from salesmart.session import scratch_path
-from salesmart.sources.star import sales_view
+from salesmart.sources.star import landed_sales, sales_view
 from salesmart.sources.tables import Tables
 
 _ODS_LIST = ", ".join(ODS_COLUMNS)
@@ -87,11 +87,12 @@ def in_one(built: dict[str, DataFrame]) -> DataFrame:
 def marts_after_deliveries(t: Tables) -> DataFrame:
     """A1-A9 from partial sums: the archive, a faulty week, the days after it, and the week again, as it should be."""
     keys = list(dict.fromkeys(c for s in rolling.key_sets() for c in s))
-    s = sales_view(t, ["order_date", *keys, "sales"])
+    lines = landed_sales(t, ["order_id", "order_date", *keys, "sales"])
+    s = lines.drop("order_id")
     day, low, high = F.col("order_date"), F.lit(REDELIVERY_FROM).cast("date"), F.lit(REDELIVERY_TO).cast("date")
     week = day.between(low, high)
-    faulty = sales_view(t, ["order_id", "order_date", *keys, "sales"]).where(week & (day != F.lit(INCREMENT_DAY).cast("date")))
+    faulty = lines.where(week & (day != F.lit(INCREMENT_DAY).cast("date")))
     root, totals = scratch_path(t.spark, "mart-log"), None
-    for batch, lines in enumerate((s.where(day < low), corrected(faulty).drop("order_id"), s.where(day > high), s.where(week))):
-        totals = rolling.deliver(lines, root, batch)
+    for batch, sent in enumerate((s.where(day < low), corrected(faulty).drop("order_id"), s.where(day > high), s.where(week))):
+        totals = rolling.deliver(sent, root, batch)
     return in_one(rolling.build(totals))

@@ -17,7 +17,7 @@ from salesmart.plans.registry import ORACLES, query, with_sales
 from salesmart.schema import HEADER_NAMES, ODS_COLUMNS
 from salesmart.session import scratch_path
 from salesmart.sources import files, inference, landing, layout
-from salesmart.sources.star import sales_view
+from salesmart.sources.star import landed_sales, sales_view
 from salesmart.sources.tables import Tables
 from salesmart.streaming import deliveries, ingest
 
@@ -46,9 +46,8 @@ def json_roundtrip(t: Tables) -> DataFrame:
 @query("ods_clustered_load", with_sales(f"SELECT {_ODS_LIST} FROM sales"))
 def ods_clustered_load(t: Tables) -> DataFrame:
     """The sales clustered on day, customer and product, read back."""
-    path, flat = scratch_path(t.spark, "clustered"), scratch_path(t.spark, "flat")
-    sales_view(t).write.parquet(flat)  # the sample and the write read the joined lines, not the join again
-    layout.write_clustered(t.spark.read.parquet(flat), path, ["order_date", "customer_name", "product_name"])
+    path = scratch_path(t.spark, "clustered")
+    layout.write_clustered(landed_sales(t), path, ["order_date", "customer_name", "product_name"])
     return t.spark.read.parquet(path)
 
 
@@ -72,7 +71,7 @@ def landed_day(t: Tables) -> DataFrame:
     """S3 + P8 by the landing ledger: the feed's older files are entered when they land; the day's load
     opens the files that landed since."""
     folder, ledger = scratch_path(t.spark, "landed"), scratch_path(t.spark, "landed-ledger")
-    s = sales_view(t)
+    s = landed_sales(t)
     old = F.col("order_date") < F.lit(INCREMENT_DAY).cast("date")
     files.write_api_json(s.where(old), folder)
     landing.record_new(t.spark, folder, ledger, REDELIVERY_FROM, multi_line=False)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.schema import ODS_COLUMNS
+from salesmart.session import scratch_path
 from salesmart.sources.tables import Tables
 
 # Column of the sales view -> (dimensions it needs, expression).
@@ -69,6 +70,15 @@ def sales_view(tables: Tables, columns: list[str] | None = None,
     return df.select(*[_EXPR[c][1]() for c in columns])
 
 
+def landed_sales(tables: Tables, columns: list[str] | None = None) -> DataFrame:
+    """``sales_view`` written once as parquet and read back, for jobs that go over the lines several
+    times: they read the joined lines, not the join again."""
+    view = sales_view(tables, columns)
+    path = scratch_path(tables.spark, "flat")
+    view.write.parquet(path)
+    return tables.spark.read.schema(view.schema).parquet(path)
+
+
 def with_dimensions(lines: DataFrame, tables: Tables, keep: tuple[str, ...] = ()) -> DataFrame:
     """The flat sales columns of lines that already carry their order's columns (batch or stream),
     and those to ``keep``. Lines without an order keep their row."""

@@ -4,6 +4,8 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from salesmart import jobs
 from salesmart.schema import HEADER_NAMES, ODS_COLUMNS
 from salesmart.session import scratch_path
@@ -65,3 +67,43 @@ def test_an_empty_landing_folder(spark):
     folder, ods = scratch_path(spark, "t-land-empty"), scratch_path(spark, "t-land-empty-ods")
     os.makedirs(folder)
     assert jobs.run_daily(spark, folder, ods, "2020-01-01") == 0
+
+
+def test_landed_json_is_compressed_and_no_file_is_large(spark, monkeypatch):
+    """The feed's text is mostly headers: landed as gzip, in files of bounded length, and read back whole."""
+    monkeypatch.setattr(files, "FILE_RECORDS", 100, raising=False)
+    rows = spark.range(0, 1000, 1, 2).selectExpr("cast(id as string) AS order_id", "cast('2024-01-01' as date) AS order_date", "id * 0.25D AS sales")
+    folder = scratch_path(spark, "t-gzip")
+    files.write_api_json(rows, folder)
+    parts = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert len(parts) >= 10 and all(f.endswith(".json.gz") for f in parts)
+    back = files.read_api_json(spark, folder, multi_line=False)
+    assert sorted(map(tuple, back.select(HEADER_NAMES["order_id"], HEADER_NAMES["sales"]).collect())) == sorted((str(i), i * 0.25) for i in range(1000))
+
+
+def _joins(spark, data_dir, monkeypatch, name):
+    """How often a query lands the joined lines, and how often it asks for the join."""
+    from salesmart.plans import QUERIES, deliveries, io
+    from salesmart.sources import star
+
+    asked, view = [], star.sales_view
+
+    def counted(*args, **kwargs):
+        asked.append(args)
+        return view(*args, **kwargs)
+
+    for module in (star, io, deliveries):
+        monkeypatch.setattr(module, "sales_view", counted)
+    writes = []
+    landed = getattr(star, "landed_sales", None)
+    for module in (io, deliveries):
+        if landed:
+            monkeypatch.setattr(module, "landed_sales", lambda *a, **k: writes.append(1) or landed(*a, **k))
+    QUERIES[name](spark, data_dir)
+    return len(writes), len(asked)
+
+
+def test_the_lines_are_joined_once(spark, data_dir, monkeypatch):
+    for name in ("landed_day", "marts_after_deliveries"):
+        assert _joins(spark, data_dir, monkeypatch, name) == (1, 1)
+        monkeypatch.undo()
