@@ -33,7 +33,9 @@ def stream_flat_sales(t: Tables) -> DataFrame:
     """J2 as a stream: orders and lines land in three waves with a restart between them; lines that have
     their order in time are the flat sales rows, the others are rejects."""
     orders, lines = feeds(t)
-    paths = {x: scratch_path(t.spark, f"flat-{x}") for x in ("orders", "lines", "flat", "rejects", "ckpt")}
+    paths = {x: scratch_path(t.spark, f"flat-{x}") for x in ("sent", "orders", "lines", "flat", "rejects", "ckpt")}
+    lines.write.parquet(paths["sent"])  # the lines' times take a join; every wave lands from its result
+    lines = t.spark.read.schema(lines.schema).parquet(paths["sent"])
     for low, high in zip((None, *CUTS), (*CUTS, None), strict=True):
         landed = F.lit(True)
         if low:

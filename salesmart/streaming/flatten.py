@@ -55,10 +55,12 @@ def run_flatten(orders: DataFrame, lines: DataFrame, tables: Tables, flat: str,
     columns = [c for c in lines.columns if c not in (AT, LANDED)]
 
     def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # two writes: without it each runs the join, and writes its state, again
         found = batch.where("o_orderkey IS NOT NULL")
         with_dimensions(found, tables).write.mode("overwrite").parquet(f"{flat}/batch={number}")
         lost = batch.where("o_orderkey IS NULL AND (l_orderkey IS NOT NULL OR l_partkey IS NOT NULL)")  # a heartbeat is no line
         lost.select(*columns, F.lit("no order in time").alias(REASON)).write.mode("overwrite").parquet(f"{rejects}/no_order/batch={number}")
+        batch.unpersist()
 
     def write_refused(batch: DataFrame, number: int) -> None:
         batch.select(*columns, REASON).write.mode("overwrite").parquet(f"{rejects}/refused/batch={number}")

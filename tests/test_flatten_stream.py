@@ -68,3 +68,15 @@ def test_nulls_unknown_orders_and_repeated_lines(spark, data_dir):
     lost = [(r.l_orderkey, r.reason) for d in ("no_order", "refused") for r in spark.read.parquet(f"{paths['rejects']}/{d}").collect()]
     # Line 4 came before its order.
     assert sorted(lost, key=str) == sorted([(9, "no order in time"), (None, "no order in time"), (4, "no order in time"), (1, "no time"), (1, "landed late")], key=str)
+
+
+def test_a_batch_is_joined_once(spark, data_dir):
+    """Found and lost lines are written from one run of the join: its state takes every row once."""
+    t = Tables(spark, data_dir)
+    orders, lines = streams.feeds(t)
+    paths = {x: scratch_path(spark, f"t-flat-once-{x}") for x in ("orders", "lines", "flat", "rejects", "ckpt")}
+    for feed, name in ((orders, "orders"), (lines, "lines")):
+        feed.write.parquet(paths[name])
+    q = _run(t, paths, orders, lines)
+    on_time = lines.where("landed_at <= at + INTERVAL 2 days").count()
+    assert sum(p.stateOperators[0].numRowsUpdated for p in q.recentProgress) <= t.orders.count() + on_time
