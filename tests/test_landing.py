@@ -78,7 +78,7 @@ def test_landed_json_is_compressed_and_no_file_is_large(spark, monkeypatch):
     parts = [f for f in os.listdir(folder) if f.startswith("part-")]
     assert len(parts) >= 10 and all(f.endswith(".json.gz") for f in parts)
     back = files.read_api_json(spark, folder, multi_line=False)
-    assert sorted(map(tuple, back.select(HEADER_NAMES["order_id"], HEADER_NAMES["sales"]).collect())) == sorted((str(i), i * 0.25) for i in range(1000))
+    assert sorted(map(tuple, back.select(HEADER_NAMES["order_id"], HEADER_NAMES["sales"]).collect())) == sorted((str(i), str(i * 0.25)) for i in range(1000))
 
 
 def _joins(spark, data_dir, monkeypatch, name):
