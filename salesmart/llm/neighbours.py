@@ -16,7 +16,9 @@ Search: a query keeps a beam of ``beam`` nodes, expands its best unexpanded ones
 ``expand`` a round, through a join with the graph (both edge directions), and is
 done when all of its beam is expanded; nodes in its beam are not sent to it again. It starts from its own node's
 neighbours and from ``entries`` fixed nodes, so clusters that no edge joins are
-reached too. The frontier is a table; only counts reach the driver.
+reached too. The frontier is a table; only counts reach the driver. Beams and links
+travel as lists, and ``beam`` is the same for every number of nodes, so a round's rows
+grow with the number of queries alone.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do null ids; shorter vectors are padded with zeros. Ties go to the
@@ -35,8 +37,8 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import groups, written
 
 K, REVERSE, TREES, LEAF, ROUNDS, SETTLED = 20, 20, 4, 64, 8, 0.02
-BEAM, EXPAND, ENTRIES = 400, 50, 64
-SEND = 8
+BEAM, EXPAND, ENTRIES = 600, 100, 64
+SEND = 12
 STEPS = 32767
 _NEAR = "node long, ids array<long>, sims array<float>, own boolean"
 
@@ -261,20 +263,28 @@ def search(index: Index, starts: DataFrame, beam: int = BEAM, expand: int = EXPA
         if rows:
             yield flush()
 
+    def unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for query, sent in groups(batches, "query"):
+            held, lists = np.array(sent.column("held")), sent.column("others")
+            ids, new = (np.concatenate([x.values.to_numpy() for x in lists.filter(pa.array(which))] or [np.zeros(0, np.int64)])
+                        for which in (held, ~held))
+            new = np.setdiff1d(new, ids)
+            if len(new):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(new), query)), pa.array(new)], names=["query", "other"])
+
     none = [F.lit(None).cast(t).alias(c) for c, t in (("own", "binary"), ("own_scale", "float"), ("ids", "array<long>"),
                                                       ("sims", "array<float>"), ("done", "array<boolean>"))]
     empty = [F.lit(None).cast(t).alias(c) for c, t in (("other", "long"), ("code", "binary"), ("scale", "float"))]
+    begin = state.select("query", F.array("query", *[F.lit(i).cast("long") for i in fixed_ids]).alias("others"))
     round_ = 0
     while state.where(F.size("next") > 0).limit(1).count():
         front = state.select("query", F.explode("next").alias("node"))
-        reached = front.join(links, "node").select("query", F.explode("others").alias("other"))
+        linked = front.join(links, "node").select("query", "others")
         if round_ == 0:
-            reached = reached.unionByName(front.select("query", F.col("node").alias("other")))
-            if fixed_ids:
-                reached = reached.unionByName(state.select("query", F.explode(F.array(*[F.lit(i).cast("long") for i in fixed_ids])).alias("other")))
-        known = state.select("query", F.explode("ids").alias("other"), F.lit(False).alias("new"))
-        reached = reached.withColumn("new", F.lit(True)).unionByName(known).groupBy("query", "other").agg(
-            F.min("new").alias("new")).where("new").drop("new")
+            linked = linked.unionByName(begin)
+        sent = linked.withColumn("held", F.lit(False)).unionByName(
+            state.where(F.size("next") > 0).select("query", F.col("ids").alias("others"), F.lit(True).alias("held")))
+        reached = sent.repartition("query").sortWithinPartitions("query").mapInArrow(unknown, "query long, other long")
         found = reached.join(codes, "other").select("query", *none, "other", "code", "scale")
         held = state.select("query", "own", "own_scale", "ids", "sims", "done", *empty)
         state = written(held.unionByName(found).repartition("query").sortWithinPartitions("query").mapInArrow(step, kind), "ann-beam")
@@ -302,10 +312,10 @@ def search(index: Index, starts: DataFrame, beam: int = BEAM, expand: int = EXPA
 def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20,
             beam: int | None = None, expand: int = EXPAND, entries: int = ENTRIES, **options) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id satisfies ``queries`` (a function of the id column),
-    the ``top`` nearest other rows found. The beam grows with the root of the number of nodes, from BEAM on."""
+    the ``top`` nearest other rows found."""
     index = build(vectors, id_col, vector_col, **options)
     asked = index.members.where(queries(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), "node").distinct()
-    found = search(index, asked, beam=max(beam or max(BEAM, round(4 * index.nodes.count() ** 0.5)), 2 * top), expand=expand, entries=entries)
+    found = search(index, asked, beam=max(beam or BEAM, 2 * top), expand=expand, entries=entries)
     # Of rows with the same vector only the top + 1 smallest ids can be wanted.
     ids = Window.partitionBy("node").orderBy("vec_id")
     few = index.members.withColumn("n", F.row_number().over(ids)).where(F.col("n") <= top + 1).drop("n")

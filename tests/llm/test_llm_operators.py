@@ -448,6 +448,24 @@ def test_neighbours_recall_among_near_copies_and_below_an_outlier(spark):
     assert _recall(spark, outlier, beam=120, expand=20, entries=8) >= 0.9
 
 
+def test_neighbours_beam_is_fixed_and_travels_as_a_list(vectors, spark, monkeypatch):
+    beams, plans, search, written = [], [], neighbours.search, neighbours.written
+
+    def landed(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return written(df, name)
+
+    monkeypatch.setattr(neighbours, "BEAM", 50)
+    monkeypatch.setattr(neighbours, "search", lambda *a, beam, **b: (beams.append(beam), search(*a, beam=beam, **b))[1])
+    monkeypatch.setattr(neighbours, "written", landed)
+    got = _rows(neighbours.nearest(vectors, lambda c: c % 20 == 0))
+    assert beams == [50]  # 401 nodes; the root rule gave 80
+    rounds = [p for name, p in plans if name == "ann-beam"]
+    assert len(rounds) > 2 and not any("explode(ids" in p or "explode(others" in p for p in rounds)
+    asked = vectors.where("vec_id % 20 = 0 and vec_id < 900").select("vec_id").distinct().count()
+    assert len(got) == 20 * asked
+
+
 def test_language_model_keeps_every_letter_and_language():
     r = random.Random(6)
     script = [chr(c) for c in range(0x4e00, 0x4e00 + 3000)]
