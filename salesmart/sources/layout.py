@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS, SAMPLE = 5, 10_000
+BITS, SAMPLE, SEARCHED = 5, 10_000, 31
 
 
 def ranges(df: DataFrame, columns: list[str], bits: int = BITS, sample: int = SAMPLE, seed: int = 1) -> dict[str, list]:
@@ -30,14 +30,24 @@ def ranges(df: DataFrame, columns: list[str], bits: int = BITS, sample: int = SA
     return out
 
 
+def _bounds_up_to(v: Column, cuts: list[Column]) -> Column:
+    """How many of the rising ``cuts`` are <= ``v``: a binary search in comparisons. More than ``SEARCHED``
+    would be code too long to be compiled; those are counted in an array."""
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(v < cuts[middle], search(low, middle)).otherwise(search(middle + 1, high))
+    return search(0, len(cuts)) if len(cuts) <= SEARCHED else F.size(F.filter(F.array(*cuts), lambda x: x <= v))
+
+
 def interleaved(df: DataFrame, bounds: dict[str, list], bits: int = BITS) -> Column:
     """The key: highest bits of all columns' ranks first. NULL ranks lowest."""
     key = F.lit(0).cast("bigint")
     ranks = {}
     for c, cuts in bounds.items():
         v, kind = F.col(f"`{c}`"), df.schema[c].dataType
-        above = F.size(F.filter(F.array(*[F.lit(x).cast(kind) for x in cuts]), lambda x: x <= v)) if cuts else F.lit(0)
-        ranks[c] = F.when(v.isNull(), 0).otherwise(above).cast("bigint")
+        ranks[c] = F.when(v.isNull(), 0).otherwise(_bounds_up_to(v, [F.lit(x).cast(kind) for x in cuts])).cast("bigint")
     for i in range(bits):
         for rank in ranks.values():
             key = F.shiftleft(key, 1) + F.shiftright(rank, bits - 1 - i).bitwiseAND(F.lit(1).cast("bigint"))

@@ -66,3 +66,16 @@ def test_ranks_rise_with_the_values(spark):
     got = df.distinct().withColumn("k", layout.interleaved(df, layout.ranges(df, ["s"], 4), 4)).collect()
     ranks = [r.k for r in sorted(got, key=lambda r: r.s.encode())]
     assert ranks == sorted(ranks) and len(set(ranks)) >= 8
+
+
+def test_ranks_are_searched_by_comparisons(spark):
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(i), f"c{i % 97:02}", float(i)) for i in range(400)] + [(None, "é", float("nan")), (None, None, -0.0)]
+    df = spark.createDataFrame(rows, "d date, s string, x double")
+    for bits, searched in ((5, True), (8, False)):  # more bounds are counted in an array
+        bounds = {**layout.ranges(df, ["d", "s"], bits), "x": [float(k) for k in range(1, 1 << bits)]}
+        for c, cuts in bounds.items():
+            held = df.select(c, layout.interleaved(df, {c: cuts}, bits).alias("k"))
+            plan = held._jdf.queryExecution().optimizedPlan().toString()
+            assert ("lambda" not in plan) == searched
+            for v, k in held.collect():  # NaN is above all numbers
+                assert k == (0 if v is None else sum(not v < x for x in cuts)), (c, v, k)
