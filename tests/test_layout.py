@@ -79,3 +79,29 @@ def test_ranks_are_searched_by_comparisons(spark):
             assert ("lambda" not in plan) == searched
             for v, k in held.collect():  # NaN is above all numbers
                 assert k == (0 if v is None else sum(not v < x for x in cuts)), (c, v, k)
+
+
+def test_rows_are_read_for_the_draw_and_for_the_write(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df, path = spark.createDataFrame(_rows(3000, 0.33), COLS).mapInArrow(count, COLS), scratch_path(spark, "t-clustered-read")
+    layout.write_clustered(df, path, BY, files=8)
+    assert seen.value == 6000 and spark.read.parquet(path).count() == 3000
+
+
+def test_tasks_follow_the_order_and_share_a_cell(spark):
+    rows = [(dt.date(2020, 1, 1), None if i % 10 == 0 else "hot" if i % 3 else f"é{i % 50}", f"part {i:05}", 1.0) for i in range(8000)]
+    df = spark.createDataFrame(rows, COLS)
+    for by in (["product"], ["customer", "product"], BY):
+        for bits in (1, 5, 7):
+            drawn, _ = layout._drawn(df, by, 4000)
+            bounds = layout._bounds(drawn, by, bits)
+            keyed = df.withColumn("_cluster", layout.interleaved(df, bounds, bits))
+            got = keyed.withColumn("task", layout._task(df, drawn, bounds, bits, 16)).orderBy("_cluster", *by).select("task").collect()
+            tasks = [r.task for r in got]
+            assert tasks == sorted(tasks) and set(tasks) == set(range(16))
+            assert max(map(tasks.count, range(16))) < 2 * len(rows) / 16
